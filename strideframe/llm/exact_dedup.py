@@ -164,3 +164,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = members.join(index.select("key", "text_sha256", "keep_id", "group_size"), ["key", "text_sha256"])
     each = joined.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy"))
     return each.select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "text_sha256")
+
+
+def keep_last(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay, with all their columns; of repeated rows one stays."""
+    stay = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
+    mine = docs.withColumn("_sha", F.sha2(common.text_of(text_col).cast("binary"), 256))
+    kept = mine.join(stay.withColumnRenamed("_sha", "_stay"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_stay")), "left_semi")
+    return kept.drop("_sha")
