@@ -110,7 +110,8 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, max_columns: int
     for j, times in sorted(zip(basis, x, strict=True), key=lambda p: -p[1]):
         column = columns[j]
         times = min([int(times + 1e-6), *(int(left[i] // n) for i, n in column.items())])
-        if times > 0:
+        used = sum(lengths[i] * n for i, n in column.items())
+        if times > 0 and capacity - used <= capacity // 64:  # wasteful starting columns go to the best fit below
             plan.append((times, {lengths[i]: n for i, n in column.items()}))
             for i, n in column.items():
                 left[i] -= times * n
