@@ -4,7 +4,7 @@ Sets are 64-bit shingle hashes; equal sets are one node (``key``). Two sets with
 an element among their first |s| - ceil(t|s|) + 1 elements in any one order; the order here puts
 shingles that many documents share last, so a common passage is rarely indexed. Nodes that share
 such an element lie in one tile, sorted by size; a tile is banded by size, as partners differ by at
-most the factor t. Pairs are bounded from above by the parity bitmaps (512 bits by element hash:
+most the factor t. Pairs are bounded from above by the parity bitmaps (one bit an element or more:
 overlap <= (|A| + |B| - differing bits) / 2) before their sorted arrays are intersected exactly.
 
 Tiles of at most ``tile`` nodes give all their pairs. Longer ones first give a chain and spokes (each
@@ -15,8 +15,6 @@ group of mutual copies never becomes all its pairs.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,8 +69,33 @@ def shingles(text: str, words: int = 5) -> np.ndarray:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """512 parity bits."""
-    return np.packbits(np.bincount((s & np.uint64(511)).astype(np.int64), minlength=512).astype(np.uint8) & 1).tobytes()
+    """Parity bits of the element hashes, as many as the next power of two from the set's size, 512 at least."""
+    size = max(512, 1 << max(len(s) - 1, 0).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits that differ, the longer bitmap folded to the shorter one's size: at most the sets' symmetric difference."""
+    if len(x) < len(y):
+        x, y = y, x
+    v = int.from_bytes(x)
+    bits = 8 * len(x)
+    while bits > 8 * len(y):
+        bits //= 2
+        v = (v >> bits) ^ (v & ((1 << bits) - 1))
+    return (v ^ int.from_bytes(y)).bit_count()
+
+
+def _bounded(percent: int):
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in range(2, 6)), strict=True):
+                most = min(na, nb, (na + nb - differing(x, y)) // 2)
+                keep.append(100 * most >= percent * (na + nb - most))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
 
 
 def _key(s: np.ndarray) -> int:
@@ -97,16 +120,15 @@ def _sets(words: int):
 
 def _frequent(words: int):
     def run(batches):
-        docs, counts = 0, Counter()
+        docs, counts = 0, np.zeros(1 << 20, np.int64)
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                docs += 1
-                counts.update(np.unique((shingles(t or "", words) >> np.uint64(44)).astype(np.int64)).tolist())
-        least = max(16, docs // 50)
-        mean = sum(counts.values()) / (1 << 20)
-        rows = [(k, v) for k, v in counts.items() if v >= least + 4 * mean]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["bucket", "n"])
+            docs += batch.num_rows
+            held = [(shingles(t or "", words) >> np.uint64(44)).astype(np.int64) for t in batch.column(0).to_pylist()]
+            if held:
+                counts += np.bincount(np.concatenate(held), minlength=1 << 20)
+        places = np.flatnonzero(counts >= max(16, docs // 50) + 4 * counts.mean())
+        if len(places):
+            yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(counts[places])], names=["bucket", "n"])
 
     return run
 
@@ -140,51 +162,57 @@ def _prefixes(words: int, percent: int, heavy: dict[int, int]):
 
 
 def _tiles(percent: int, tile: int):
-    """Rows in (token, n, key) order -> candidate pairs; hot tokens of long tiles are also named."""
+    """Rows in (token, n, key) order -> candidate pairs (a, b) and, of long tiles, their members (a, hot, n)."""
+    names = ["a", "b", "hot", "n"]
+
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
 
     def run(batches):
-        token, members = None, []  # members of an open tile; a long one keeps head and last only
-        heads: list = []
+        token, members, size, head, last = None, [], 0, None, None
 
-        def pairs(out):
-            got = members
-            for i, (ka, na) in enumerate(got):
-                for kb, nb in got[i + 1 :]:
+        def close(out):
+            for i, (ka, na) in enumerate(members):
+                for kb, nb in members[i + 1 :]:
                     if 100 * na < percent * nb:
                         break
-                    out.append((min(ka, kb), max(ka, kb), None))
+                    out.append((min(ka, kb), max(ka, kb), None, None))
+
+        def spoke(out, k, n):
+            out.append((k, None, token, n))
+            out.append((min(last, k), max(last, k), None, None))
+            if head != last:
+                out.append((min(head, k), max(head, k), None, None))
 
         for batch in batches:
             out: list = []
             for t, k, n in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 if t != token:
-                    if not heads and len(members) > 1:
-                        pairs(out)
-                    token, members, heads = t, [], []
-                if members and members[-1][0] == k:
-                    continue
-                if heads:
-                    last, head, size = heads
-                    out.append((min(last, k), max(last, k), t if size == tile + 1 else None))
-                    if head != last:
-                        out.append((min(head, k), max(head, k), None))
-                    heads = [k, head if (size + 1) % tile else k, size + 1]
+                    close(out)
+                    token, members, size, head, last = t, [], 0, k, None
+                elif last == k:
                     continue
-                members.append((k, n))
-                if len(members) > tile:
-                    first = members[0][0]
-                    for (a, _), (b, _) in zip(members, members[1:], strict=False):
-                        out.append((min(a, b), max(a, b), t))
-                    out.extend((min(first, b), max(first, b), None) for b, _ in members[2:])
-                    heads = [k, first, len(members)]
-                    members = members[-1:]
+                size += 1
+                if size <= tile:
+                    members.append((k, n))
+                else:
+                    if members:  # the tile has just become long: its pairs give way to spokes
+                        out.append((members[0][0], None, token, members[0][1]))
+                        last = head
+                        for kb, nb in members[1:]:
+                            spoke(out, kb, nb)
+                            last = kb
+                        members = []
+                    spoke(out, k, n)
+                    if size % 256 == 0:
+                        head = k
+                last = k
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "hot"])
+                yield batch_of(out)
         out = []
-        if not heads and len(members) > 1:
-            pairs(out)
+        close(out)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "hot"])
+            yield batch_of(out)
 
     return run
 
@@ -231,7 +259,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, tile: int = 48) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, tile: int = 4) -> DataFrame:
     """One row per input row: id_col, n_shingles, component_id.
 
     A null, empty or blank text has no shingles and is its own component. Ids that repeat with
@@ -245,7 +273,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     heavy = {r["bucket"]: r["n"] for r in found}
     postings = base.select("t").mapInArrow(_prefixes(words, percent, heavy), "token long, key long, n long")
     tiles = postings.repartition(F.col("token")).sortWithinPartitions("token", "n", "key")
-    candidates = common.save(tiles.mapInArrow(_tiles(percent, tile), "a long, b long, hot long"), "tiles")
+    candidates = common.save(tiles.mapInArrow(_tiles(percent, tile), "a long, b long, hot long, n long"), "tiles")
     common.release(docs.sparkSession)
     unique = nodes.where("n > 0").groupBy("key").agg(F.min("n").alias("n"), F.min_by("bits", "n").alias("bits"), F.min("id").alias("rep"))
     unique = common.save(unique, "unique-sets")
@@ -253,22 +281,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def linked(pairs: DataFrame) -> DataFrame:
         u = unique.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
         v = unique.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
-        differ = sum((F.bit_count(F.conv(F.hex(F.substring("ba", 1 + 4 * i, 4)), 16, 10).cast("long").bitwiseXOR(F.conv(F.hex(F.substring("bb", 1 + 4 * i, 4)), 16, 10).cast("long"))) for i in range(16)), F.lit(0))
-        bound = F.floor((F.col("na") + F.col("nb") - differ) / 2)
-        kept = pairs.join(u, "a").join(v, "b").where(100 * bound >= percent * (F.col("na") + F.col("nb") - bound)).select("a", "b")
+        kept = pairs.join(u, "a").join(v, "b").select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_bounded(percent), "a long, b long")
         kept = common.save(kept, "bounded-pairs")
         wanted = kept.select(F.col("a").alias("key")).union(kept.select("b")).distinct().join(unique.select("key", "rep"), "key")
         texts = base.join(wanted.withColumnRenamed("rep", "id"), "id").select("key", "t")
         arrays = common.save(texts.mapInArrow(_arrays(words), "key long, arr binary"), "arrays")
         left, right = arrays.select(F.col("key").alias("a"), F.col("arr").alias("x")), arrays.select(F.col("key").alias("b"), F.col("arr").alias("y"))
+        common.release(docs.sparkSession)
         return common.save(kept.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(words, percent), "a long, b long"), "links")
 
-    edges = linked(candidates.select("a", "b").distinct())
+    edges = linked(candidates.where("b IS NOT NULL").select("a", "b").distinct())
     roots = components(edges)
-    hot = candidates.where("hot IS NOT NULL").select(F.col("hot").alias("token")).distinct()
+    hot = candidates.where("hot IS NOT NULL").select(F.col("hot").alias("token"), F.col("a").alias("key"), "n")
     if hot.limit(1).count():
-        lists = postings.join(hot, "token").distinct().join(roots, "key", "left").select("token", "key", "n", F.coalesce("root", "key").alias("root"))
-        lists = common.save(lists, "hot-tiles")
+        lists = common.save(hot.join(roots, "key", "left").select("token", "key", "n", F.coalesce("root", "key").alias("root")), "hot-tiles")
         open_ = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
         # size bands: partners lie in the same or the next band of factor 1/t
         band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
