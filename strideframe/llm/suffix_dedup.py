@@ -126,7 +126,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         both = ranked.join(state, ["r1", "r2", "w1", "w2"])
         both = common.save(both.select("row", "pos", "u", "v", "ctx", "cell", "done", "same", "kinds", "first_row", "w1", "w2", "r1"), "reranked")
         twin = F.col("same") > 1
-        found.append(both.where(twin).where("NOT done").select("row", (F.col("pos") - F.col("v")).alias("f"), (F.col("pos") - F.col("u") + LENGTH).alias("t")))
+        found.append(common.save(both.where(twin).where("NOT done").select("row", (F.col("pos") - F.col("v")).alias("f"), (F.col("pos") - F.col("u") + LENGTH).alias("t")), "repeated"))
         if size == 1:
             break
         # of each neighbourhood one position goes on, if another neighbourhood shares its rank
@@ -135,7 +135,10 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         child = F.explode(F.array(F.col("cell"), F.col("cell") + half))
         kids = one.select("row", "pos", "u", "v", "ctx", (F.col("done") | twin).alias("done"), child.alias("cell")).withColumn("nu", F.greatest("u", "cell")).withColumn("nv", F.least(F.col("v"), F.col("cell") + half - 1)).where("nu <= nv")
         kids = kids.select("row", "pos", F.col("nu").alias("u"), F.col("nv").alias("v"), F.expr(f"substring(ctx, CAST(v - nv AS int) + 1, CAST(nv - nu AS int) + {LENGTH})").alias("ctx"), "cell", "done")
-        live = common.save(kids, "ranked")
+        old, live = live, common.save(kids, "ranked")
+        common.forget(old, both)
+        del old, both, one, kids, ranked, classes, sizes, state
+        common.release(spark)
         size = half
         if not live.limit(1).count():
             break
