@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_DOCS = 4000
+MAX_DOCS = 1000
 MAX_LINE = 2000
 WORD = re.compile(r"\S+")
 
@@ -71,7 +71,7 @@ def marginals(x: np.ndarray, w: np.ndarray, trans: np.ndarray) -> tuple[np.ndarr
     return g[:, 1], pair, logz
 
 
-def train(docs: list[tuple[str, int]], rounds: int = 60, rate: float = 0.5, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def train(docs: list[tuple[str, int]], rounds: int = 40, rate: float = 0.5, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Emission weights (2 x features) and transitions (2 x 2) by batch gradient ascent (Adagrad).
 
     Classes weigh the same in the sum, however rare one is; a class without rows leaves the prior at 0.5.
