@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -52,6 +53,7 @@ def forget(*frames: DataFrame) -> None:
 
 def release(spark: SparkSession) -> None:
     """Let the context cleaner drop shuffle files of finished, unreferenced plans now."""
+    gc.collect()  # Python's references to plans hold the JVM's
     spark._jvm.System.gc()
 
 

@@ -111,6 +111,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     near = rows.join(alive, "row").select("row", "body", "places").mapInArrow(_neighbourhoods, "row long, pos long, lo long, hi long, ctx binary")
     # u..v: window starts counted back from the anchor; done: this neighbourhood has a twin already
     live = common.save(near.select("row", "pos", (F.col("pos") - F.col("hi")).alias("u"), (F.col("pos") - F.col("lo")).alias("v"), F.col("ctx"), F.lit(0).alias("cell"), F.lit(False).alias("done")), "ranked")
+    del named, twice, alive, near
     common.release(spark)
     found, size = [], CELLS
     while True:
