@@ -140,9 +140,10 @@ def event_gaps(spark, d):
     return g.groupBy("user_id").agg(F.max("gap").alias("max_gap"), F.when(F.count("gap") >= 4, F.median("gap")).alias("median_gap"))
 
 
-@query("SELECT l_orderkey, l_linenumber, round(l_quantity - next, 6) AS delta FROM (SELECT *, lead(l_quantity) OVER w AS next, lead(l_linenumber) OVER w AS nl FROM lineitem WHERE l_discount > 0.02 WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) WHERE nl = l_linenumber + 1")
+@query("SELECT l_orderkey, l_linenumber, round(l_quantity - next, 6) AS delta FROM (SELECT *, lead(l_quantity) OVER w AS next, lead(l_linenumber) OVER w AS nl FROM (SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem WHERE l_discount > 0.02 GROUP BY 1, 2) WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) WHERE nl = l_linenumber + 1")
 def adjacent_rows(spark, d):
-    p = sequence.adjacent_pairs(table(spark, d, "lineitem").where("l_discount > 0.02"), "l_orderkey", "l_linenumber", "l_quantity")
+    lines = table(spark, d, "lineitem").where("l_discount > 0.02").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))  # line numbers repeat
+    p = sequence.adjacent_pairs(lines, "l_orderkey", "l_linenumber", "l_quantity")
     return p.select("l_orderkey", "l_linenumber", F.round(F.col("l_quantity") - F.col("next_value"), 6).alias("delta"))
 
 
