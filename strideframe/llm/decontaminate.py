@@ -1,11 +1,13 @@
 """Benchmark decontamination by template windows, with DataFrame functions only.
 
-Words are lower-cased and stripped of punctuation; numbers, names (capitalised words inside a
-sentence) and units become typed placeholders. Every window of ``window`` template words of the
-benchmark is hashed and joined with the documents' windows; hits of one (document, item, shift)
-are one alignment. Slots are then compared: a re-parameterised question has the same template and
-maps each original slot value to one value throughout, so an alignment counts when it covers
-``least`` of the item's windows and either its plain words agree or its slots map consistently.
+Words are stripped of outer punctuation and lower-cased; in the template, numbers, names (capitalised
+words inside a sentence) and units become typed placeholders. Every window of ``window`` template
+words of the benchmark is hashed and joined with the documents' windows; a window with slots is also
+looked up by its plain words, as a change of case hides names. Hits of one (document, item, shift)
+are one alignment, and one that covers ``least`` of the item's windows is a candidate. The words of
+candidates are then laid side by side: an alignment counts when windows of equal plain words cover
+as much, or when every slot value of the item stands for one value of the document throughout, so
+that a re-parameterised question counts as well as a copy.
 """
 
 from __future__ import annotations
@@ -18,47 +20,63 @@ from . import common
 #: fixed word list of measurement units
 UNITS = "km cm mm kg mg lb oz mph kph km/h m/s ms min hr hrs hours hour minutes minute seconds second days day weeks week months month years year meters meter metres metre miles mile feet foot inches inch grams gram litres liters dollars euros percent"
 MAX_BROADCAST_ITEMS = 20_000
+NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
+_OUTER = r"(?<=^|\x20)[^\p{L}\p{N}\x20\ue000-\ue002]+|[^\p{L}\p{N}%\x20\ue000-\ue002]+(?=\x20|$)"
 
 
-def _words(t: Column) -> Column:
-    """array<struct<w, k>>: the plain word and its template form."""
-    raw = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    named = lambda x, i: (i > 0) & x.rlike(r"^\p{Lu}\p{Ll}+") & ~F.get(raw, i - 1).rlike(r"[.!?:|]$")
-    bare = lambda x: F.regexp_replace(x, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$", "")
-    kind = lambda w: F.when(w.rlike(r"^[$€£]?\p{N}[\p{N}.,:/-]*%?$"), "<num>").when(F.lower(w).isin(UNITS.split()), "<unit>").otherwise(F.lower(w))
-    return F.filter(F.transform(raw, lambda x: F.struct(F.lower(bare(x)).alias("w"), kind(bare(x)).alias("k"))), lambda x: x["w"] != "")
+def _words(df: DataFrame) -> DataFrame:
+    """Adds pw (plain words) and ks (template words), arrays of one length."""
+    tidy = F.trim(F.regexp_replace(F.translate("t", NAME + NUMBER + UNIT, ""), r"[\x20\x09-\x0D]+", " "))
+    named = F.regexp_replace("tidy", r"(?<=[^.!?:|\x20]\x20)\p{Lu}\p{Ll}+[^\x20]*", NAME)
+    slots = F.regexp_replace(F.lower(F.regexp_replace("named", _OUTER, "")), r"(?<=^|\x20)\p{N}[\p{N}.,:/-]*%?(?=\x20|$)", NUMBER)
+    slots = F.regexp_replace(slots, rf"(?<=^|\x20)(?:{'|'.join(UNITS.split())})(?=\x20|$)", UNIT)
+    split = lambda x: F.filter(F.split(x, " "), lambda w: w != "")
+    out = df.withColumn("tidy", tidy).withColumn("named", named)
+    return out.withColumn("pw", split(F.lower(F.regexp_replace("tidy", _OUTER, "")))).withColumn("ks", split(slots)).drop("t", "tidy", "named")
 
 
 def _windows(df: DataFrame, n: int) -> DataFrame:
-    """id, pos, key, plain, values: one row per window; a text shorter than n words is one window."""
-    words = df.select("id", _words(F.col("t")).alias("ws"))
-    long = words.select("id", F.transform("ws", lambda x: x["k"]).alias("ks"), F.transform("ws", lambda x: x["w"]).alias("pw")).where(F.size("ks") > 0)
-    at = F.posexplode(F.sequence(F.lit(1), F.greatest(F.size("ks") - (n - 1), F.lit(1))))
-    return long.select("id", "ks", "pw", at.alias("pos", "at")).select("id", "pos", F.xxhash64(F.array_join(F.slice("ks", F.col("at"), n), " ")).alias("key"), F.xxhash64(F.array_join(F.slice("pw", F.col("at"), n), " ")).alias("plain"))
+    """id, pos (from 1), key: a row per window and one more where plain words differ; a text shorter than n words is one window."""
+    at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("ks") - (n - 1), F.lit(1))))
+    words = _words(df).where(F.size("ks") > 0).select("id", "ks", "pw", at.alias("pos"))
+    keys = words.select("id", "pos", F.xxhash64(F.slice("ks", F.col("pos"), n)).alias("k"), F.xxhash64(F.slice("pw", F.col("pos"), n)).alias("p"))
+    return keys.select("id", "pos", F.explode(F.when(F.col("k") == F.col("p"), F.array("k")).otherwise(F.array("k", "p"))).alias("key"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 8, least: float = 0.4) -> DataFrame:
     """One row per contaminated (document, item): id_col, item_id, n_windows, item_windows, share, exact, first_word.
 
-    Null and empty texts match nothing. Repeated rows and ties give one row a pair. An empty
-    table on either side gives an empty result; other columns are ignored. The item side is broadcast only when the
-    benchmark has at most MAX_BROADCAST_ITEMS rows; beyond that the windows are joined by shuffle.
+    Of several alignments of a pair the one with most windows is reported, of equals the exact one,
+    then the one with the smallest shift. Null and empty texts match nothing, repeated rows give one
+    row a pair, an empty table on either side gives an empty result; other columns are ignored. The
+    item side is broadcast only when the benchmark has at most MAX_BROADCAST_ITEMS rows; beyond that
+    the windows are joined by shuffle. An item's repeated window counts once, at its first place.
     """
-    bench = benchmark.select(F.col(item_col).alias("id"), common.text_of(item_text).alias("t")).where(F.col("id").isNotNull())
+    bench = benchmark.select(F.col(item_col).alias("id"), common.text_of(item_text).alias("t")).where(F.col("id").isNotNull()).dropDuplicates(["id", "t"])
     small = bench.limit(MAX_BROADCAST_ITEMS + 1).count() <= MAX_BROADCAST_ITEMS
-    items = _windows(bench, window).dropDuplicates(["id", "key"])
-    sizes = items.groupBy("id").agg(F.count(F.lit(1)).alias("item_windows"))
-    items = items.select(F.col("id").alias("item_id"), "key", F.col("plain").alias("item_plain"), F.col("pos").alias("item_pos")).join(sizes.withColumnRenamed("id", "item_id"), "item_id")
-    items = common.save(items, "bench-windows")
+    items = _windows(bench, window).groupBy(F.col("id").alias("item_id"), "key").agg(F.min("pos").alias("item_pos"))
+    sizes = items.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"))
+    items = common.save(items.join(sizes, "item_id"), "bench-windows")
     rows = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).alias("t")).where(F.col("id").isNotNull())
     hits = _windows(rows, window).join(F.broadcast(items) if small else items, "key")
-    # an alignment: the same shift between document and item; slots agree when plain words do
-    one = hits.groupBy("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.countDistinct("key").alias("n_windows"), F.max("item_windows").alias("item_windows"), F.count_if(F.col("plain") == F.col("item_plain")).alias("same"), F.min("pos").alias("first_word"),
-    )
-    pair = one.groupBy("id", "item_id").agg(F.max("item_windows").alias("item_windows"), F.max("n_windows").cast("long").alias("n_windows"), F.max_by("same", F.struct("n_windows", "shift")).alias("same"), F.max_by("first_word", F.struct("n_windows", "shift")).alias("first_word"))
-    share = F.col("n_windows") / F.col("item_windows")
-    return pair.where(share >= least).select(F.col("id").alias(id_col), "item_id", "n_windows", F.col("item_windows").cast("long").alias("item_windows"), share.alias("share"), (F.col("same") >= F.col("n_windows")).alias("exact"), F.col("first_word").cast("long").alias("first_word"))
+    shift = (F.col("pos") - F.col("item_pos")).alias("shift")
+    aligned = hits.groupBy("id", "item_id", shift).agg(F.sort_array(F.collect_set("item_pos")).alias("at"), F.max("item_windows").alias("item_windows"))
+    aligned = common.save(aligned.where(F.size("at") >= least * F.col("item_windows")), "alignments")
+    # candidates only: their words side by side
+    beside = _words(bench).select(F.col("id").alias("item_id"), F.col("pw").alias("item_words"), F.col("ks").alias("item_slots"))
+    texts = rows.join(aligned.select("id").distinct(), "id", "left_semi")
+    both = _words(texts).select("id", "pw").join(aligned, "id").join(beside, "item_id")
+    covered = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p - 1, F.least(p - 1 + window, F.size("item_words")) - 1))))
+    both = both.withColumn("covered", covered)
+    theirs = lambda q: F.get("pw", q + F.col("shift"))
+    filled = F.filter("covered", lambda q: F.get("item_slots", q).isin(NAME, NUMBER, UNIT))
+    pairs = F.array_distinct(F.transform(filled, lambda q: F.struct(F.get("item_words", q).alias("ours"), F.coalesce(theirs(q), F.lit("")).alias("theirs"))))
+    both = both.withColumn("pairs", pairs).withColumn("exact", F.forall("covered", lambda q: F.get("item_words", q).eqNullSafe(theirs(q))))
+    same = F.filter("at", lambda p: F.slice("item_words", p, window) == F.slice("pw", p + F.col("shift"), window))
+    one = both.where((F.size(same) >= least * F.col("item_windows")) | (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["ours"])))))
+    found = F.struct(F.size("at").cast("long").alias("n_windows"), "exact", (-F.col("shift")).alias("back"), F.col("item_windows").cast("long").alias("item_windows"), (F.element_at("at", 1) + F.col("shift")).cast("long").alias("first_word"))
+    best = one.groupBy("id", "item_id").agg(F.max(found).alias("f"))
+    return best.select(F.col("id").alias(id_col), "item_id", "f.n_windows", "f.item_windows", (F.col("f.n_windows") / F.col("f.item_windows")).alias("share"), "f.exact", "f.first_word")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
