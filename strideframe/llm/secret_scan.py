@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from . import common
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-KINDS = {"assign": (ASSIGN, 1, 8), "access": (r"(AKIA[A-Z0-9]+)", 1, 16), "hex": (r"([0-9a-f]+)", 1, 32)}
+#: a run is matched whole, so its least length may stand in the pattern; an assignment's short value must still be consumed
+KINDS = {"assign": (ASSIGN, 1, 8), "access": (r"(AKIA[A-Z0-9]{12,})", 1, 16), "hex": (r"([0-9a-f]{32,})", 1, 32)}
 CANDIDATE = r"([A-Za-z0-9+/_=-]{20,})"
 #: class -> (pattern of the whole candidate, bits a character)
 CLASSES = {"hex": (r"^[0-9a-fA-F]+$", 3.0), "mixed": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", 3.9), "upper": (r"^(?=.*[0-9])[A-Z0-9]+$", 3.6)}
