@@ -21,24 +21,27 @@ from . import common
 UNITS = "km cm mm kg mg lb oz mph kph km/h m/s ms min hr hrs hours hour minutes minute seconds second days day weeks week months month years year meters meter metres metre miles mile feet foot inches inch grams gram litres liters dollars euros percent"
 MAX_BROADCAST_ITEMS = 20_000
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
-_OUTER = r"(?<=^|\x20)[^\p{L}\p{N}\x20\ue000-\ue002]+|[^\p{L}\p{N}%\x20\ue000-\ue002]+(?=\x20|$)"
+_OUTER = r"(?:[^\p{L}\p{N}%\x20]*+\x20[^\p{L}\p{N}\x20\ue000]*+)+"
 
 
 def _words(df: DataFrame) -> DataFrame:
-    """Adds pw (plain words) and ks (template words), arrays of one length."""
-    tidy = F.trim(F.regexp_replace(F.translate("t", NAME + NUMBER + UNIT, ""), r"[\x20\x09-\x0D]+", " "))
-    named = F.regexp_replace("tidy", r"(?<=[^.!?:|\x20]\x20)\p{Lu}\p{Ll}+[^\x20]*", NAME)
-    slots = F.regexp_replace(F.lower(F.regexp_replace("named", _OUTER, "")), r"(?<=^|\x20)\p{N}[\p{N}.,:/-]*%?(?=\x20|$)", NUMBER)
-    slots = F.regexp_replace(slots, rf"(?<=^|\x20)(?:{'|'.join(UNITS.split())})(?=\x20|$)", UNIT)
-    split = lambda x: F.filter(F.split(x, " "), lambda w: w != "")
-    out = df.withColumn("tidy", tidy).withColumn("named", named)
-    return out.withColumn("pw", split(F.lower(F.regexp_replace("tidy", _OUTER, "")))).withColumn("ks", split(slots)).drop("t", "tidy", "named")
+    """Adds pw (plain words) and ks (template words), arrays of one length.
+
+    The text gets a space at each end, so patterns begin at a space instead of looking behind every
+    character. A word counts as a unit only after a number.
+    """
+    tidy = F.concat(F.lit(" "), F.regexp_replace(F.translate("t", NAME + NUMBER + UNIT, ""), r"[\x09-\x0D]", " "), F.lit(" "))
+    named = F.regexp_replace(tidy, r"([^.!?:|\x20]\x20+)(?=\p{Lu}\p{Ll})", "$1" + NAME)
+    out = df.withColumn("marked", F.lower(F.regexp_replace(named, _OUTER, " ")))
+    number = F.regexp_replace("marked", r"\x20\p{N}[\p{N}.,:/-]*+%?(?=\x20)", " " + NUMBER)
+    slots = F.regexp_replace(F.regexp_replace(number, rf"{NUMBER} (?:{'|'.join(UNITS.split())})(?=\x20)", f"{NUMBER} {UNIT}"), rf"{NAME}[^\x20]+", NAME)
+    return out.select(*[c for c in df.columns if c != "t"], F.split(F.trim(F.replace("marked", F.lit(NAME), F.lit(""))), " ").alias("pw"), F.split(F.trim(slots), " ").alias("ks"))
 
 
 def _windows(df: DataFrame, n: int) -> DataFrame:
     """id, pos (from 1), key: a row per window and one more where plain words differ; a text shorter than n words is one window."""
     at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("ks") - (n - 1), F.lit(1))))
-    words = _words(df).where(F.size("ks") > 0).select("id", "ks", "pw", at.alias("pos"))
+    words = _words(df).where(F.get("pw", 0) != "").select("id", "ks", "pw", at.alias("pos"))
     keys = words.select("id", "pos", F.xxhash64(F.slice("ks", F.col("pos"), n)).alias("k"), F.xxhash64(F.slice("pw", F.col("pos"), n)).alias("p"))
     return keys.select("id", "pos", F.explode(F.when(F.col("k") == F.col("p"), F.array("k")).otherwise(F.array("k", "p"))).alias("key"))
 
