@@ -239,24 +239,27 @@ def _arrays(words: int):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """key, root (smallest key reachable) for every key of edges(a, b): min labels with shortcuts."""
-    both = common.save(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
-    labels = common.save(both.groupBy(F.col("a").alias("key")).agg(F.least(F.min("b"), F.min("a")).alias("root")), "labels")
-    while True:
-        near = both.join(labels, both["b"] == labels["key"]).groupBy("a").agg(F.min("root").alias("near"))
-        step = labels.join(near, labels["key"] == near["a"], "left").select("key", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old"))
-        # the old root learns the new one, then every node jumps to its root's root
-        hook = step.where(F.col("root") < F.col("old")).groupBy(F.col("old").alias("k")).agg(F.min("root").alias("r"))
-        step = step.join(hook, F.col("key") == F.col("k"), "left").select("key", F.least("root", F.coalesce("r", "root")).alias("root"), "old")
-        up = step.select(F.col("key").alias("u"), F.col("root").alias("v"))
-        new = common.save(step.join(up, F.col("root") == F.col("u")).select("key", F.col("v").alias("root"), "old"), "labels")
-        changed = new.where(F.col("root") != F.col("old")).limit(1).count()
-        common.forget(labels)
-        labels = common.save(new.select("key", "root"), "labels")
-        common.forget(new)
-        if not changed:
-            common.forget(both)
-            return labels
+    """key, root (smallest key reachable) for every key of edges(a, b).
+
+    Every round each key takes its smallest neighbour's smallest neighbour as its new name, links are
+    renamed and those inside one name are dropped, so the links shrink from round to round.
+    """
+    live = common.save(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    labels = common.save(live.select(F.col("a").alias("key")).union(live.select("b")).distinct().select("key", F.col("key").alias("root")), "labels")
+    while live.limit(1).count():
+        ends = live.select(F.col("a").alias("key"), F.col("b").alias("other")).union(live.select("b", "a"))
+        up = common.save(ends.groupBy("key").agg(F.least(F.min("other"), F.col("key")).alias("up")), "parents")
+        top = up.select(F.col("key").alias("up"), F.col("up").alias("new"))
+        name = common.save(up.join(top, "up").select("key", "new"), "names")
+        new = labels.join(name.withColumnRenamed("key", "root"), "root", "left").select("key", F.coalesce("new", "root").alias("root"))
+        new = common.save(new, "labels")
+        left, right = name.select(F.col("key").alias("a"), F.col("new").alias("na")), name.select(F.col("key").alias("b"), F.col("new").alias("nb"))
+        rest = live.join(left, "a").join(right, "b").where("na <> nb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct()
+        rest = common.save(rest, "links")
+        common.forget(live, labels, up, name)
+        live, labels = rest, new
+    common.forget(live)
+    return labels
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, tile: int = 4) -> DataFrame:
