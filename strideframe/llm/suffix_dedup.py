@@ -27,6 +27,7 @@ CELLS = LENGTH - SEED + 1
 _TABLE = np.random.default_rng(19990731).integers(1, 1 << 63, 256, dtype=np.uint64)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 CHUNK = 1 << 19
+HOT_CLASSES = 2_000
 
 
 def _seed_hashes(b: np.ndarray) -> np.ndarray:
@@ -73,14 +74,48 @@ def _scan(batches):
 
 
 def _neighbourhoods(batches):
-    """Rows with a document and its surviving anchors -> one row each with the bytes around it."""
-    names = ["row", "pos", "lo", "hi", "ctx"]
+    """Rows with a document and some of its anchors -> one row each with the bytes around it."""
+    names = ["row", "pos", "lo", "hi", "done", "ctx"]
+    kinds = [pa.int64()] * 4 + [pa.bool_(), pa.binary()]
     for batch in batches:
         for row, body, places in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-            p = [(x["pos"], x["lo"], x["hi"]) for x in places]
-            for i in range(0, len(p), 4096):
-                pos, lo, hi = zip(*p[i : i + 4096], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([row] * len(pos)), pa.array(pos, pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array([body[a : z + LENGTH] for a, z in zip(lo, hi, strict=True)], pa.binary())], names=names)
+            for i in range(0, len(places), 4096):
+                part = [(row, x["pos"], x["lo"], x["hi"], x["done"], body[x["lo"] : x["hi"] + LENGTH]) for x in places[i : i + 4096]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], names=names)
+
+
+def _with_text(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """places(row, pos, lo, hi, done) -> row, pos, u, v, ctx, done, with the bytes of their windows as ctx.
+
+    Window starts lo..hi become u..v, counted back from the anchor.
+    """
+    held = places.groupBy("row").agg(F.collect_list(F.struct("pos", "lo", "hi", "done")).alias("places"))
+    near = rows.join(held, "row").select("row", "body", "places").mapInArrow(_neighbourhoods, "row long, pos long, lo long, hi long, done boolean, ctx binary")
+    return near.select("row", "pos", (F.col("pos") - F.col("hi")).alias("u"), (F.col("pos") - F.col("lo")).alias("v"), "ctx", "done")
+
+
+def _ranked(df: DataFrame, size: int) -> DataFrame:
+    """Adds r1, r2, the rank of the string that all windows of the cell share, and w1, w2, that of the neighbourhood."""
+    # ctx holds text[anchor - v, anchor - u + LENGTH); the cell's common string starts at -cell
+    core = F.expr(f"substring(ctx, CAST(v - cell AS int) + 1, {LENGTH - size + 1})")
+    # a segment that covers part of the cell still holds the core, as windows in it contain it
+    return df.withColumns({
+        "r1": F.xxhash64(F.lit(1), F.col("cell"), core), "r2": F.xxhash64(F.lit(2), core, F.col("cell")),
+        "w1": F.xxhash64(F.lit(3), F.col("u"), F.col("v"), F.col("ctx")), "w2": F.xxhash64(F.lit(4), F.col("ctx"), F.col("v"), F.col("u")),
+    })
+
+
+def _looked_up(rows: DataFrame, classes: DataFrame, on: list[str], size: str) -> DataFrame:
+    """rows joined with the table of their classes, of which ``size`` counts the rows.
+
+    A class of more than one in HOT_CLASSES rows would fill a task; there are fewer than HOT_CLASSES
+    such classes whatever the input, so these are broadcast and only the others are shuffled.
+    """
+    total = rows.count()
+    hot = F.col(size) * HOT_CLASSES > total
+    large = F.broadcast(classes.where(hot))
+    others = rows.join(large.select(*on), on, "left_anti").join(classes.where(~hot), on)
+    return rows.join(large, on).unionByName(others)
 
 
 def _cut_kind(batches):
@@ -105,40 +140,36 @@ def _cut_kind(batches):
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """row, f, t (byte ranges, t exclusive) of all repeated windows of rows(row long, body binary)."""
     spark = rows.sparkSession
-    named = rows.mapInArrow(_scan, "row long, pos long, lo long, hi long, rank long")
-    twice = named.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
-    alive = named.join(twice, "rank", "left_semi").groupBy("row").agg(F.collect_list(F.struct("pos", "lo", "hi")).alias("places"))
-    near = rows.join(alive, "row").select("row", "body", "places").mapInArrow(_neighbourhoods, "row long, pos long, lo long, hi long, ctx binary")
-    # u..v: window starts counted back from the anchor; done: this neighbourhood has a twin already
-    live = common.save(near.select("row", "pos", (F.col("pos") - F.col("hi")).alias("u"), (F.col("pos") - F.col("lo")).alias("v"), F.col("ctx"), F.lit(0).alias("cell"), F.lit(False).alias("done")), "ranked")
-    del named, twice, alive, near
+    named = common.save(rows.mapInArrow(_scan, "row long, pos long, lo long, hi long, rank long"), "anchors")
+    twice = common.save(named.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seed-ranks")
+    alive = _looked_up(named, twice, ["rank"], "n").select("row", "pos", "lo", "hi", F.lit(False).alias("done"))
+    # done: this neighbourhood has a twin already; the bytes themselves are kept only from the second round on
+    live = common.save(_ranked(_with_text(rows, alive).withColumn("cell", F.lit(0)), CELLS).drop("ctx"), "ranked")
+    common.forget(named, twice)
+    del named, twice, alive
     common.release(spark)
     found, size = [], CELLS
     while True:
-        # ctx holds text[anchor - v, anchor - u + LENGTH); the cell's common string starts at -cell
-        core = F.expr(f"substring(ctx, CAST(v - cell AS int) + 1, {LENGTH - size + 1})")
-        # a segment that covers part of the cell still holds the core, as windows in it contain it
-        pair = [F.xxhash64(F.lit(1), F.col("cell"), core).alias("r1"), F.xxhash64(F.lit(2), core, F.col("cell")).alias("r2")]
-        whole = F.xxhash64(F.lit(3), F.col("u"), F.col("v"), F.col("ctx"))
-        ranked = live.select("*", *pair, whole.alias("w1"), F.xxhash64(F.lit(4), F.col("ctx"), F.col("v"), F.col("u")).alias("w2"))
-        classes = ranked.groupBy("r1", "r2", "w1", "w2").agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("first_row"))
-        sizes = classes.groupBy("r1", "r2").agg(F.sum("same").alias("all"), F.count(F.lit(1)).alias("kinds"))
-        state = classes.join(sizes, ["r1", "r2"]).where("all > 1")
-        both = ranked.join(state, ["r1", "r2", "w1", "w2"])
-        both = common.save(both.select("row", "pos", "u", "v", "ctx", "cell", "done", "same", "kinds", "first_row", "w1", "w2", "r1"), "reranked")
+        key = ["r1", "r2", "w1", "w2"]
+        classes = common.save(live.groupBy(*key).agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("first_row")), "classes")
+        sizes = common.save(classes.groupBy("r1", "r2").agg(F.sum("same").alias("all"), F.count(F.lit(1)).alias("kinds")).where("all > 1"), "rank-sizes")
+        state = common.save(_looked_up(classes, sizes, ["r1", "r2"], "kinds").drop("all"), "shared-ranks")
+        both = common.save(_looked_up(live, state, key, "same"), "reranked")
         twin = F.col("same") > 1
         found.append(common.save(both.where(twin).where("NOT done").select("row", (F.col("pos") - F.col("v")).alias("f"), (F.col("pos") - F.col("u") + LENGTH).alias("t")), "repeated"))
         if size == 1:
             break
         # of each neighbourhood one position goes on, if another neighbourhood shares its rank
-        one = both.where("kinds > 1 AND row = first_row").dropDuplicates(["r1", "w1", "w2", "cell"])
+        one = both.where("kinds > 1 AND row = first_row").dropDuplicates(["r1", "w1", "w2", "cell"]).withColumn("done", F.col("done") | twin)
+        if size == CELLS:
+            one = _with_text(rows, one.select("row", "pos", (F.col("pos") - F.col("v")).alias("lo"), (F.col("pos") - F.col("u")).alias("hi"), "done")).withColumn("cell", F.lit(0))
         half = size // 2
         child = F.explode(F.array(F.col("cell"), F.col("cell") + half))
-        kids = one.select("row", "pos", "u", "v", "ctx", (F.col("done") | twin).alias("done"), child.alias("cell")).withColumn("nu", F.greatest("u", "cell")).withColumn("nv", F.least(F.col("v"), F.col("cell") + half - 1)).where("nu <= nv")
+        kids = one.select("row", "pos", "u", "v", "ctx", "done", child.alias("cell")).withColumn("nu", F.greatest("u", "cell")).withColumn("nv", F.least(F.col("v"), F.col("cell") + half - 1)).where("nu <= nv")
         kids = kids.select("row", "pos", F.col("nu").alias("u"), F.col("nv").alias("v"), F.expr(f"substring(ctx, CAST(v - nv AS int) + 1, CAST(nv - nu AS int) + {LENGTH})").alias("ctx"), "cell", "done")
-        old, live = live, common.save(kids, "ranked")
-        common.forget(old, both)
-        del old, both, one, kids, ranked, classes, sizes, state
+        old, live = live, common.save(_ranked(kids, half), "ranked")
+        common.forget(old, both, classes, sizes, state)
+        del old, both, one, kids, classes, sizes, state
         common.release(spark)
         size = half
         if not live.limit(1).count():
