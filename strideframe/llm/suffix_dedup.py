@@ -142,18 +142,23 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     named = common.save(rows.mapInArrow(_scan, "row long, pos long, lo long, hi long, rank long"), "anchors")
     twice = common.save(named.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "seed-ranks")
-    alive = _looked_up(named, twice, ["rank"], "n").select("row", "pos", "lo", "hi", F.lit(False).alias("done"))
-    # done: this neighbourhood has a twin already; the bytes themselves are kept only from the second round on
-    live = common.save(_ranked(_with_text(rows, alive).withColumn("cell", F.lit(0)), CELLS).drop("ctx"), "ranked")
+    common.release(spark)
+    alive = common.save(_looked_up(named, twice, ["rank"], "n").select("row", "pos", "lo", "hi", F.lit(False).alias("done")), "alive")
     common.forget(named, twice)
-    del named, twice, alive
     common.release(spark)
+    # done: this neighbourhood has a twin already; the bytes themselves are kept only from the second round on
+    live = common.save(_ranked(_with_text(rows, alive).withColumn("cell", F.lit(0)), CELLS).drop("ctx"), "ranked")
+    common.forget(alive)
     found, size = [], CELLS
     while True:
         key = ["r1", "r2", "w1", "w2"]
+        common.release(spark)
         classes = common.save(live.groupBy(*key).agg(F.count(F.lit(1)).alias("same"), F.min("row").alias("first_row")), "classes")
         sizes = common.save(classes.groupBy("r1", "r2").agg(F.sum("same").alias("all"), F.count(F.lit(1)).alias("kinds")).where("all > 1"), "rank-sizes")
+        common.release(spark)
         state = common.save(_looked_up(classes, sizes, ["r1", "r2"], "kinds").drop("all"), "shared-ranks")
+        common.forget(classes, sizes)
+        common.release(spark)
         both = common.save(_looked_up(live, state, key, "same"), "reranked")
         twin = F.col("same") > 1
         found.append(common.save(both.where(twin).where("NOT done").select("row", (F.col("pos") - F.col("v")).alias("f"), (F.col("pos") - F.col("u") + LENGTH).alias("t")), "repeated"))
@@ -167,10 +172,11 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         child = F.explode(F.array(F.col("cell"), F.col("cell") + half))
         kids = one.select("row", "pos", "u", "v", "ctx", "done", child.alias("cell")).withColumn("nu", F.greatest("u", "cell")).withColumn("nv", F.least(F.col("v"), F.col("cell") + half - 1)).where("nu <= nv")
         kids = kids.select("row", "pos", F.col("nu").alias("u"), F.col("nv").alias("v"), F.expr(f"substring(ctx, CAST(v - nv AS int) + 1, CAST(nv - nu AS int) + {LENGTH})").alias("ctx"), "cell", "done")
-        old, live = live, common.save(_ranked(kids, half), "ranked")
-        common.forget(old, both, classes, sizes, state)
-        del old, both, one, kids, classes, sizes, state
+        common.forget(live, state)
         common.release(spark)
+        live = common.save(_ranked(kids, half), "ranked")
+        common.forget(both)
+        del both, one, kids
         size = half
         if not live.limit(1).count():
             break
