@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strideframe.functions import geometry as G
-from strideframe.operators import gates, relational, sequence
+from strideframe.operators import gates, relational, reports, sequence
 from strideframe.session import table
 from strideframe.streaming import leases
 
@@ -363,3 +363,71 @@ def slew_limited(spark, d):
 @query()
 def spaced_waypoints(spark, d):
     return sequence.spaced_waypoints(_events(spark, d), "user_id", "sec", "value", 20.0)
+
+
+@query(f"""
+WITH m AS (SELECT user_id, event_type, sec, event_id, CASE WHEN event_type IS NOT DISTINCT FROM lag(event_type) OVER w AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS new FROM {EV} WINDOW w AS (PARTITION BY user_id ORDER BY sec, event_id)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY sec, event_id) AS run FROM m)
+SELECT user_id, event_type, min(sec) AS since, max(sec) AS until, count(*) AS n FROM r GROUP BY user_id, event_type, run HAVING max(sec) - min(sec) >= 3600""")
+def stalls(spark, d):
+    return reports.stalls(_events(spark, d), "user_id", ["sec", "event_id"], "event_type", "sec", 3600.0)
+
+
+@query(f"""
+SELECT event_id, user_id FROM (SELECT *, coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY sec, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM {EV}) WHERE b < 3""")
+def trim_at_nth(spark, d):
+    return reports.trim_at_nth(_events(spark, d), "user_id", ["sec", "event_id"], F.col("event_type") == "purchase", 3).select("event_id", "user_id")
+
+
+@query("""
+SELECT user_id, event_id AS chosen, value <= 5 AS passed FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN value <= 5 THEN 0 ELSE 1 END, CASE WHEN value <= 5 THEN event_id END, value, event_id) AS rn FROM events) WHERE rn = 1""")
+def first_passing(spark, d):
+    return reports.first_passing(table(spark, d, "events"), "user_id", "event_id", "value", 5.0)
+
+
+@query("""
+WITH e AS (SELECT user_id, event_id, abs(value - 50) AS err FROM events), r AS (SELECT *, sum(CASE WHEN err > 20 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM e)
+SELECT user_id, max(err) AS worst, count(*) FILTER (err > 20) AS n_over, coalesce(string_agg(event_id::VARCHAR, ',' ORDER BY event_id) FILTER (err > 20 AND k <= 12), '') AS offenders FROM r GROUP BY user_id""")
+def offenders(spark, d):
+    return reports.offenders(table(spark, d, "events"), "user_id", "event_id", F.abs(F.col("value") - 50), 20.0)
+
+
+@query(f"""
+WITH s AS ({ORACLE['phase_shares']}), b AS (SELECT user_id, event_type, greatest(0.1::DOUBLE - share, share - 0.3::DOUBLE, 0::DOUBLE) AS d FROM s)
+SELECT user_id, round(sum(d * d), 9) AS distance, (SELECT c.event_type FROM b c WHERE c.user_id = b.user_id ORDER BY round(c.d, 9) DESC, c.event_type DESC LIMIT 1) AS worst FROM b GROUP BY user_id""")
+def band_distance(spark, d):
+    return reports.band_distance(phase_shares(spark, d), "user_id", "event_type", "share", 0.1, 0.3)
+
+
+@query("""
+SELECT o_custkey, count(*) AS handled, CASE WHEN count(*) < 2 THEN 'requeue' ELSE 'give_up' END AS action, ((max(o_orderkey) + 100) // 100 * 100)::BIGINT AS next_seed FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey""")
+def requeue(spark, d):
+    return reports.requeue(table(spark, d, "orders").where("o_orderstatus = 'F'"), "o_custkey", "o_orderkey")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem s WHERE s.l_returnflag = 'N' AND s.l_orderkey = l.l_orderkey AND s.l_linenumber = l.l_linenumber AND s.l_extendedprice = l.l_extendedprice)""")
+def unseen_files(spark, d):
+    files = table(spark, d, "lineitem")
+    name = ["l_orderkey", "l_linenumber", "l_extendedprice"]
+    return reports.unseen(files.select(*name), files.where("l_returnflag = 'N'"), name)
+
+
+@query(f"""
+SELECT event_id, user_id FROM {EV} s WHERE event_type <> 'purchase' AND NOT EXISTS (SELECT 1 FROM {EV} h WHERE h.event_type = 'purchase' AND h.user_id = s.user_id AND h.sec >= s.sec AND h.sec <= s.sec + 86400)""")
+def spans_without_hits(spark, d):
+    e = _events(spark, d)
+    spans = e.where("event_type <> 'purchase'").select("event_id", "user_id", "sec", (F.col("sec") + 86400).alias("stop"))
+    return reports.spans_without_hits(spans, e.where("event_type = 'purchase'"), "user_id", "sec", "stop", "sec").select("event_id", "user_id")
+
+
+@query("SELECT vec_id, count(*) FILTER (abs(x) < 0.1) / count(*) AS near_share, count(*) FILTER (abs(x) < 0.1) / count(*) > 0.2 AS buried FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY vec_id")
+def near_share(spark, d):
+    return reports.near_share(table(spark, d, "embeddings"), "embedding", 0.1).select("vec_id", "near_share", "buried")
+
+
+@query(f"WITH g AS ({ORACLE['gate_report']}) SELECT user_id, coalesce(string_agg(gate, ',' ORDER BY gate) FILTER (upper(result) LIKE 'FAIL%'), '') AS failed FROM g GROUP BY user_id")
+def failed_gates(spark, d):
+    listed = gate_report(spark, d).groupBy("user_id").agg(F.collect_list(F.struct("gate", "result")).alias("gates"))
+    failed = F.transform(F.filter("gates", lambda g: F.upper(g["result"]).like("FAIL%")), lambda g: g["gate"])
+    return listed.select("user_id", F.array_join(F.sort_array(failed), ",").alias("failed"))
