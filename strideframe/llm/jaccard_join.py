@@ -31,6 +31,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _POW: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 HEAVY = 1 << 16
+YIELD = 1 << 17
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,12 +105,17 @@ def _key(s: np.ndarray) -> int:
     return int(mix(np.array([np.bitwise_xor.reduce(mix(s)) ^ np.uint64(len(s)), s.sum(dtype=np.uint64)], np.uint64)).view(np.int64).sum())
 
 
+def _texts(column: pa.Array):
+    """The texts of a batch one at a time, so that a batch of long ones is never held as strings too."""
+    return (x.as_py() or "" for x in column)
+
+
 def _sets(words: int):
     def run(batches):
         for batch in batches:
             ids, ns, keys, bits = batch.column(0), [], [], []
-            for t in batch.column(1).to_pylist():
-                s = shingles(t or "", words)
+            for t in _texts(batch.column(1)):
+                s = shingles(t, words)
                 ns.append(len(s))
                 keys.append(_key(s))
                 bits.append(bitmap(s))
@@ -123,9 +129,8 @@ def _frequent(words: int):
         docs, counts = 0, np.zeros(1 << 20, np.int64)
         for batch in batches:
             docs += batch.num_rows
-            held = [(shingles(t or "", words) >> np.uint64(44)).astype(np.int64) for t in batch.column(0).to_pylist()]
-            if held:
-                counts += np.bincount(np.concatenate(held), minlength=1 << 20)
+            for t in _texts(batch.column(0)):
+                np.add.at(counts, (shingles(t, words) >> np.uint64(44)).astype(np.int64), 1)
         places = np.flatnonzero(counts >= max(16, docs // 50) + 4 * counts.mean())
         if len(places):
             yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(counts[places])], names=["bucket", "n"])
@@ -138,11 +143,14 @@ def _prefixes(words: int, percent: int, heavy: dict[int, int]):
     weight = np.array([heavy[int(k)] for k in places], dtype=np.int64)
 
     def run(batches):
+        def made(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], names=["token", "key", "n"])
+
         for batch in batches:
-            tokens, keys, sizes = [], [], []
+            tokens, keys, sizes, held = [], [], [], 0
             seen: set[int] = set()  # equal sets of this batch are indexed once
-            for t in batch.column(0).to_pylist():
-                s = shingles(t or "", words)
+            for t in _texts(batch.column(0)):
+                s = shingles(t, words)
                 n = len(s)
                 if not n or (k := _key(s)) in seen:
                     continue
@@ -155,8 +163,12 @@ def _prefixes(words: int, percent: int, heavy: dict[int, int]):
                 tokens.append(s[:m].view(np.int64))
                 keys.append(np.full(m, k))
                 sizes.append(np.full(m, n, np.int64))
+                held += m
+                if held >= YIELD:
+                    yield made(tokens, keys, sizes)
+                    tokens, keys, sizes, held = [], [], [], 0
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, keys, sizes)], names=["token", "key", "n"])
+                yield made(tokens, keys, sizes)
 
     return run
 
@@ -233,7 +245,7 @@ def _verify(words: int, percent: int):
 def _arrays(words: int):
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t or "", words).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["key", "arr"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((shingles(t, words).tobytes() for t in _texts(batch.column(1))), pa.binary())], names=["key", "arr"])
 
     return run
 
