@@ -65,16 +65,19 @@ def undirected(a: str, b: str) -> tuple[Column, Column]:
     return F.least(a, b).alias("u"), F.greatest(a, b).alias("v")
 
 
-def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """id, component by min labels with pointer jumping; lineage is cut by checkpoint()."""
+def connected_components(edges: DataFrame) -> DataFrame:
+    """id, component by min labels with pointer jumping until no label changes; lineage is cut by checkpoint().
+
+    Edges with a null end link nothing and are left out.
+    """
+    edges = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull())
     both = edges.select(F.col("u"), F.col("v")).union(edges.select(F.col("v"), F.col("u"))).distinct().checkpoint()
     labels = both.groupBy(F.col("u").alias("id")).agg(F.least(F.min("v"), F.min("u")).alias("component")).checkpoint()
-    for _ in range(rounds):
+    while True:
         near = both.join(labels, both["v"] == labels["id"]).groupBy("u").agg(F.min("component").alias("near"))
         step = labels.join(near, labels["id"] == near["u"], "left").select("id", F.least("component", F.coalesce("near", "component")).alias("c"), F.col("component").alias("old"))
         jump = step.select(F.col("id").alias("j"), F.col("c").alias("to"))
         new = step.join(jump, F.col("c") == F.col("j"), "left").select("id", F.least("c", F.coalesce("to", "c")).alias("component"), "old").checkpoint()
         labels = new.select("id", "component")
         if not new.where("component <> old").limit(1).count():
-            break
-    return labels
+            return labels

@@ -347,7 +347,7 @@ def json_flatten(spark, d):
 
 @query()
 def components(spark, d):
-    e = table(spark, d, "lineitem").where("l_quantity >= 50").select(F.col("l_partkey").alias("u"), (F.col("l_suppkey") + 10_000_000).alias("v"))
+    e = table(spark, d, "lineitem").select(F.col("l_partkey").alias("u"), (F.col("l_suppkey") + 10_000_000).alias("v"))
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         import tempfile
 
