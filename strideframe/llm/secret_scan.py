@@ -3,14 +3,16 @@
 Base kinds are regular expressions. Positions come from lengths: the pieces between matches and the
 matches themselves alternate, so the start of a match is the sum of what lies before it.
 The method adds ``entropy`` spans: over each candidate string a window of ``window`` characters
-slides by one; the counts of its characters are updated by one addition and one removal, and the
-sum of c*log2(c) with them, so each step costs the same whatever the window. A candidate is
-reported when some window's entropy reaches its character class's threshold and nothing on the
-allow list fits it.
+slides by one. Each step needs the window's counts of two characters only, the one that leaves and
+the one that comes, and moves the sum of c*log2(c) by their change, so a step costs the same
+wherever it is and a string costs in proportion to its length. A candidate is reported when some
+window's entropy reaches its character class's threshold and nothing on the allow list fits it.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,31 +22,56 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 #: a run is matched whole, so its least length may stand in the pattern; an assignment's short value must still be consumed
 KINDS = {"assign": (ASSIGN, 1, 8), "access": (r"(AKIA[A-Z0-9]{12,})", 1, 16), "hex": (r"([0-9a-f]{32,})", 1, 32)}
 CANDIDATE = r"([A-Za-z0-9+/_=-]{20,})"
-#: class -> (pattern of the whole candidate, bits a character)
-CLASSES = {"hex": (r"^[0-9a-fA-F]+$", 3.0), "mixed": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+$", 3.9), "upper": (r"^(?=.*[0-9])[A-Z0-9]+$", 3.6)}
-#: digits only, one character repeated, UUIDs, paths of words, placeholders
-ALLOW = [r"^[0-9]+$", r"^(.)\1+$", r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$", r"(?i)example|placeholder|xxxx|0123456789", r"^[/_=+-]*([A-Za-z]+[/_=+-]+)*[A-Za-z]*$"]
+#: class -> (pattern of the whole candidate, bits a character); the first that fits counts
+CLASSES = {
+    "hex": (r"^[0-9a-fA-F]+$", 3.0),
+    "lower": (r"^(?=.*[0-9])[a-z0-9]+$", 3.6),
+    "upper": (r"^(?=.*[0-9])[A-Z0-9]+$", 3.6),
+    "mixed": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", 3.9),
+    "letters": (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z+/=]+$", 4.1),
+}
+#: digits only, one character repeated, UUIDs, placeholders, words in one case or with one capital each, alone or joined by signs
+ALLOW = [r"^[0-9]+$", r"^(.)\1+$", r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$", r"(?i)example|placeholder|xxxx|0123456789", r"^[/_=+-]*((?:[A-Z]?[a-z]+|[A-Z]+)[/_=+-]+)*(?:[A-Z]?[a-z]+|[A-Z]+)?$"]
+CHUNK = 256
 
 
 def _prefilter(text: Column) -> dict[str, Column]:
-    return {"assign": text.rlike(ASSIGN), "access": text.contains("AKIA"), "hex": text.rlike(r"[0-9a-f]{32}"), "entropy": text.rlike(r"[A-Za-z0-9+/_=-]{20}") & text.rlike(r"[0-9]")}
+    return {"assign": text.rlike(ASSIGN), "access": text.contains("AKIA"), "hex": text.rlike(r"[0-9a-f]{32}"), "entropy": text.rlike(r"[A-Za-z0-9+/_=-]{20}")}
+
+
+def _once(value: Column, f) -> Column:
+    """f(value) with value computed once, however often f reads it."""
+    return F.get(F.transform(F.array(value), f), 0)
 
 
 def _spans(kind: str, pattern: str, group: int, least: int) -> Column:
-    """array<struct<s, e, kind, v>> of one kind; code points, end exclusive."""
-    pieces, whole = f"split(t, p_{kind}, -1)", f"regexp_extract_all(t, p_{kind}, 0)"
-    value = f"regexp_extract_all(t, p_{kind}, {group})"
-    sql = f"""
-        filter(
-          aggregate(
-            arrays_zip(slice({pieces}, 1, size({whole})) AS gap, {whole} AS hit, {value} AS val),
-            named_struct('at', 0, 'out', CAST(array() AS array<struct<s:int,e:int,kind:string,v:string>>)),
-            (a, x) -> named_struct('at', a.at + length(x.gap) + length(x.hit),
-              'out', concat(a.out, array(named_struct('s', a.at + length(x.gap), 'e', a.at + length(x.gap) + length(x.hit), 'kind', '{kind}', 'v', x.val)))),
-            a -> a.out),
-          x -> length(x.v) >= {least})
-    """.replace(f"p_{kind}", "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'")
-    return F.expr(sql.replace(" AS gap", "").replace(" AS hit", "").replace(" AS val", "").replace("x.gap", "x['0']").replace("x.hit", "x['1']").replace("x.val", "x['2']"))
+    """array<struct<s, e, kind, v>> of one kind; code points, end exclusive.
+
+    Starts are running sums; they are kept in two levels of CHUNK matches, so that long lists cost
+    little more than their length.
+    """
+    empty = F.array().cast("array<struct<s:int,e:int,kind:string,v:string>>")
+    gaps, hits, values = F.split("t", pattern, -1), F.regexp_extract_all("t", F.lit(pattern), 0), F.regexp_extract_all("t", F.lit(pattern), group)
+    rows = F.zip_with(F.zip_with(hits, values, lambda h, v: F.struct(F.length(h).alias("h"), v.alias("v"))), gaps, lambda x, g: F.struct(F.length(g).alias("g"), x["h"].alias("h"), x["v"].alias("v")))
+
+    def within(at: Column, part: Column) -> Column:
+        def step(a, x):
+            start = a["at"] + x["g"]
+            return F.struct((start + x["h"]).alias("at"), F.concat(a["out"], F.array(F.struct(start.alias("s"), (start + x["h"]).alias("e"), F.lit(kind).alias("kind"), x["v"].alias("v")))).alias("out"))
+
+        return F.aggregate(part, F.struct(at.alias("at"), empty.alias("out")), step, lambda a: a["out"])
+
+    def cut(all_rows: Column) -> Column:
+        last = F.greatest(F.floor((F.size(all_rows) - 1) / CHUNK).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(all_rows, b * CHUNK + 1, CHUNK))
+
+    def joined(parts: Column) -> Column:
+        sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, x: a + x["g"] + x["h"]))
+        starts = F.aggregate(sums, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        return F.flatten(F.zip_with(parts, starts, lambda p, at: F.when(p.isNull(), empty).otherwise(within(at, p))))
+
+    whole = _once(F.filter(rows, lambda x: x["h"].isNotNull()), lambda r: _once(cut(r), joined))
+    return F.filter(whole, lambda x: F.length(x["v"]) >= least)
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
@@ -60,10 +87,10 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for kind, (pattern, group, least) in KINDS.items():
         rows = rows.withColumn(kind, F.when(first[kind], _spans(kind, pattern, group, least)).otherwise(none))
     rows = rows.withColumn("found", F.when(first["entropy"], _spans("entropy", CANDIDATE, 1, window)).otherwise(none))
-    v = lambda x: x["v"]
     allowed = lambda x: F.array(*[v(x).rlike(p) for p in ALLOW])
-    rows = rows.withColumn("found", F.filter("found", lambda x: (v(x).rlike(CLASSES["hex"][0]) | v(x).rlike(CLASSES["mixed"][0]) | v(x).rlike(CLASSES["upper"][0])) & ~F.array_contains(allowed(x), True)))
-    rows = rows.withColumn("entropy", F.expr(_entropy_filter(window)))
+    bits = lambda v: F.coalesce(*[F.when(v.rlike(p), F.lit(b)) for p, b in CLASSES.values()])
+    allowed = lambda v: F.array_contains(F.array(*[v.rlike(p) for p in ALLOW]), True)
+    rows = rows.withColumn("entropy", F.filter("found", lambda x: bits(x["v"]).isNotNull() & ~allowed(x["v"]) & (window_entropy(x["v"], window) >= bits(x["v"]))))
     order = {"assign": 0, "access": 1, "hex": 2, "entropy": 3}
     key = lambda names: F.array_sort(F.transform(F.concat(*names), lambda x: F.struct(x["s"].alias("s"), F.coalesce(*[F.when(x["kind"] == k, F.lit(n)) for k, n in order.items()]).alias("o"), F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string")).alias("txt"))))
     joined = lambda names: F.array_join(F.transform(key(names), lambda x: x["txt"]), ",")
@@ -73,20 +100,25 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def _entropy_filter(window: int) -> str:
-    bits = "CASE WHEN x.v RLIKE '^[0-9a-fA-F]+$' THEN {0} WHEN x.v RLIKE '^[A-Z0-9]+$' THEN {1} ELSE {2} END".format(CLASSES["hex"][1], CLASSES["upper"][1], CLASSES["mixed"][1])
-    return f"filter(found, x -> ({entropy_sql('x.v', window)}) >= {bits})"
+def window_entropy(value: Column, window: int = 20) -> Column:
+    """The highest entropy of ``window`` neighbouring characters of a string; -infinity if it is shorter."""
+    weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])  # c*log2(c) by c
+
+    def best(chars: Column, f: Column) -> Column:
+        # place i (from 1) leaves the window, place i + window comes; what lies between stays
+        def step(s: Column, i: Column) -> Column:
+            return _once(F.slice(chars, i + 1, window - 1), lambda stays: change(s, stays, F.get(chars, i - 1), F.get(chars, i + window - 1)))
+
+        def change(a: Column, stays: Column, old: Column, new: Column) -> Column:
+            gone = F.size(F.filter(stays, lambda c: c == old))
+            come = F.size(F.filter(stays, lambda c: c == new))
+            s = a["s"] + F.get(f, gone) - F.get(f, gone + 1) + F.get(f, come + 1) - F.get(f, come)
+            return F.struct(s.alias("s"), F.least(a["low"], s).alias("low"))
 
+        first = F.slice(chars, 1, window)
+        start = F.aggregate(F.array_distinct(first), F.lit(0.0), lambda s, c: s + F.get(f, F.size(F.filter(first, lambda x: x == c))))
+        steps = F.when(F.size(chars) > window, F.sequence(F.lit(1), F.size(chars) - window)).otherwise(F.array().cast("array<int>"))
+        low = _once(start, lambda s: F.aggregate(steps, F.struct(s.alias("s"), s.alias("low")), step, lambda a: a["low"]))
+        return F.when(F.size(chars) < window, F.lit(float("-inf"))).otherwise(math.log2(window) - low / window)
 
-def entropy_sql(value: str, window: int = 20) -> str:
-    """SQL of the highest window entropy of ``value``; counts and their c*log2(c) sum are carried along."""
-    f = lambda c: f"IF({c} <= 1, 0D, {c} * log2({c}))"
-    new, old = f"substring({value}, i + 1, 1)", f"substring({value}, i + 1 - {window}, 1)"
-    count = lambda m, k: f"coalesce({m}[{k}], 0)"
-    put = lambda m, k, d: f"map_concat(map_filter({m}, (k, v) -> k <> {k}), map({k}, {count(m, k)} + {d}))"
-    add = f"named_struct('n', {put('a.n', new, 1)}, 's', a.s + {f(f'({count('a.n', new)} + 1)')} - {f(count('a.n', new))}, 'low', a.low)"
-    gone = f"(b -> IF(i < {window}, b, named_struct('n', {put('b.n', old, -1)}, 's', b.s + {f(f'({count('b.n', old)} - 1)')} - {f(count('b.n', old))}, 'low', b.low)))"
-    # one-element transforms bind the intermediate states
-    step = f"element_at(transform(transform(array({add}), {gone[1:-1]}), b -> IF(i < {window} - 1, b, named_struct('n', b.n, 's', b.s, 'low', least(b.low, b.s)))), 1)"
-    start = "named_struct('n', CAST(map() AS map<string,int>), 's', 0D, 'low', CAST('Infinity' AS double))"
-    return f"log2({window}) - aggregate(sequence(0, length({value}) - 1), {start}, (a, i) -> {step}, a -> a.low) / {window}"
+    return _once(F.struct(F.filter(F.split(value, ""), lambda c: c != "").alias("c"), weight.alias("f")), lambda x: best(x["c"], x["f"]))
