@@ -1,10 +1,15 @@
 """HTML to text by layout-aware rendering.
 
 A tolerant tokenizer feeds a tree builder that knows implied end tags (p, li, td, tr, option, dt,
-dd) and void elements; a renderer walks the tree and emits every visible text: blocks are set apart
-by line breaks (paragraph-like ones by a blank line), list items get a bullet or number, and the
-cells of a table are padded to column widths. Hidden are head matter, scripts, styles, templates,
-``hidden`` attributes, ``display:none``, ``visibility:hidden`` and ``aria-hidden``.
+dd, head) and void elements; a renderer walks the tree and emits every visible text: blocks are set
+apart by line breaks (paragraph-like ones by a blank line), list items get a bullet or number, and the
+cells of a table are padded to column widths, over several lines if a cell has them. Hidden are head
+matter, scripts, styles, templates, ``hidden`` attributes, ``display:none`` and ``visibility:hidden``
+(but for children made visible again).
+
+Every step costs in proportion to the page, however it is broken or nested: the places of open tags
+are kept by name, so no end tag searches the stack, and nothing recurses. A table that holds tables
+more than ``DEEP`` deep is taken as page layout: its cells become blocks.
 """
 
 from __future__ import annotations
@@ -16,180 +21,345 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|[^<]+|<", re.S)
+NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
+PLAIN = re.compile(r"[^'\">]*")
 ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
+RAW = frozenset("script style xmp noembed noframes iframe".split())
+ESCAPABLE = frozenset("textarea title".split())
 UNSEEN = frozenset("head script style template noscript title iframe object svg math datalist meta link".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 APART = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl hr article section figure".split())
 BLOCK = APART | frozenset("html body div header footer main nav aside address form fieldset li dt dd tr caption figcaption details summary option center".split())
+CELLS = ("td", "th")
+GROUPS = ("tbody", "thead", "tfoot")
+TABLE_ENDS = frozenset(("table", "tr", *GROUPS, "body", "html"))
+#: a paragraph is ended by a block, unless one of these was opened inside it
+HOLDS_P = ("td", "th", "li", "div", "table", "body", "article", "section")
 #: an opening tag ends these open elements, up to the named boundary
-IMPLIED = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select"), "tbody": ("thead tbody tr td th", "table"), "thead": ("tbody tr td th", "table")}
+IMPLIED = {"li": (("li",), ("ul", "ol")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", *CELLS), ("table",)), "td": (CELLS, ("tr", "table")), "th": (CELLS, ("tr", "table")), "option": (("option",), ("select",)), "tbody": ((*GROUPS, "tr", *CELLS), ("table",)), "thead": ((*GROUPS, "tr", *CELLS), ("table",)), "tfoot": ((*GROUPS, "tr", *CELLS), ("table",))}
+DEEP = 3
+WIDEST = 80
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids")
+    __slots__ = ("tag", "attrs", "kids", "height")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.kids = tag, attrs, []
+        self.tag, self.attrs, self.kids, self.height = tag, attrs, [], 0
 
-    def hidden(self) -> bool:
-        if self.tag in UNSEEN:
-            return True
+    def values(self) -> dict[str, str]:
         if not self.attrs.strip():
-            return False
-        a = {k.lower(): v.strip("\"'").lower() for k, v in ATTR.findall(self.attrs)}
-        style = a.get("style", "").replace(" ", "")
-        return "hidden" in a or "display:none" in style or "visibility:hidden" in style or a.get("aria-hidden") == "true"
+            return {}
+        return {k.lower(): v.strip("\"'").lower() for k, v in reversed(ATTR.findall(self.attrs))}
+
+
+def _number(value: str | None, default: int, most: int) -> int:
+    found = re.match(r"\s*(-?[0-9]{1,9})", value or "")
+    return min(int(found[1]), most) if found else default
+
+
+def tokens(markup: str):
+    """(kind, name, rest): text, open or close; comments and declarations are left out.
+
+    A tag ends at the first ``>`` outside quotes. Where a quote never closes, or no such ``>`` follows,
+    quotes have no meaning from there on.
+    """
+    at, n, last = 0, len(markup), markup.rfind(">")
+    quoted = {"'": markup.rfind("'"), '"': markup.rfind('"')}
+    raw_end = None
+    while at < n:
+        if raw_end:
+            found = re.compile(rf"</{raw_end}(?=[\s/>])", re.I).search(markup, at)
+            end = found.start() if found else n
+            yield "raw", raw_end, markup[at:end]
+            at, raw_end = end, None
+            continue
+        if markup[at] != "<":
+            end = markup.find("<", at)
+            end = n if end < 0 else end
+            yield "text", "", markup[at:end]
+            at = end
+            continue
+        if markup.startswith("<!--", at):
+            end = markup.find("-->", at + 4)
+            at = n if end < 0 else end + 3
+            continue
+        if at > last:  # no tag can end any more
+            yield "text", "", markup[at:]
+            return
+        if markup[at + 1 : at + 2] in ("!", "?"):
+            at = markup.find(">", at) + 1
+            continue
+        name = NAME.match(markup, at)
+        if not name:
+            yield "text", "", "<"
+            at += 1
+            continue
+        end = PLAIN.match(markup, name.end()).end()
+        while end < n and markup[end] != ">":
+            quote = markup[end]
+            close = markup.find(quote, end + 1) if quoted[quote] > end else -1
+            end = PLAIN.match(markup, close + 1 if close >= 0 else end + 1).end()
+        if end >= n:  # only inside quotes is there a >
+            quoted = {"'": -1, '"': -1}
+            end = markup.find(">", name.end())
+        rest, tag = markup[name.end() : end], name[1].lower()
+        at = end + 1
+        if markup.startswith("</", name.start()):
+            yield "close", tag, ""
+        else:
+            yield "open", tag, rest
+            if tag in RAW or tag in ESCAPABLE:
+                raw_end = tag
 
 
 def parse(markup: str) -> Node:
     """The tree of a page; never fails."""
     root = Node("#root")
     stack = [root]
-    at, n = 0, len(markup)
-    while at < n:
-        m = TOKEN.match(markup, at)
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            if m[0][0] != "<" or m[0] == "<":
-                stack[-1].kids.append(entities.unescape(m[0]))
-            continue
-        tag = tag.lower()
-        if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "body", "html"):
-                    break
-            continue
-        if tag in BLOCK and tag != "html":
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in ("td", "th", "li", "div", "table", "body", "article", "section"):
-                    break
-        if tag in IMPLIED:
-            ends, stop = (set(x.split()) for x in IMPLIED[tag])
-            i = len(stack) - 1
-            while i > 0 and stack[i].tag not in stop:
-                if stack[i].tag in ends:
-                    del stack[i:]
-                i -= 1
-        node = Node(tag, m[3] or "")
-        stack[-1].kids.append(node)
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(markup, at)
-            node.kids.append(markup[at : end.start() if end else n])
-            at = end.end() if end else n
-        elif tag not in VOID and not (m[3] or "").rstrip().endswith("/"):
-            stack.append(node)
+    places: dict[str, list[int]] = {}  # tag -> places in the stack
+
+    def top(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def cut(i: int) -> None:
+        while len(stack) > i:
+            gone = stack.pop()
+            places[gone.tag].pop()
+            if gone.tag == "table" and (outer := top(("table",))):
+                stack[outer].height = max(stack[outer].height, gone.height + 1)
+
+    for kind, tag, rest in tokens(markup):
+        if kind == "text":
+            if stack[-1].tag == "head" and not rest.isspace():
+                cut(len(stack) - 1)
+            stack[-1].kids.append(entities.unescape(rest))
+        elif kind == "raw":
+            stack[-1].kids[-1].kids.append(entities.unescape(rest) if tag in ESCAPABLE else rest)
+        elif kind == "close":
+            i = top((tag,))
+            if i and (tag in TABLE_ENDS or tag in CELLS or i > top((*CELLS, "table"))) and (tag == "table" or i > top(("table",)) or tag in ("body", "html")):
+                cut(i)
+        else:
+            head = top(("head",))
+            if head and tag not in IN_HEAD and tag != "head":
+                cut(head)
+            if tag in BLOCK and tag != "html" and (p := top(("p",))) > top(HOLDS_P):
+                cut(p)
+            if tag in IMPLIED:
+                ends, stop = IMPLIED[tag]
+                floor = top(stop)
+                while (i := top(ends)) > floor:
+                    cut(i)
+            node = Node(tag, rest)
+            stack[-1].kids.append(node)
+            if tag not in VOID and tag not in RAW and tag not in ESCAPABLE and not (rest.endswith("/") and tag not in BLOCK):
+                places.setdefault(tag, []).append(len(stack))
+                stack.append(node)
+    cut(1)
     return root
 
 
-def render(root: Node) -> str:
-    """Visible text with block spacing, lists and aligned table cells."""
-    out: list[str] = []
-
-    def feed(breaks: int) -> None:
-        while out and out[-1] == " ":
-            out.pop()
-        have = 0
-        while have < len(out) and out[-1 - have] == "\n":
-            have += 1
-        if out and have < len(out):
-            out.extend("\n" * (breaks - have))
-
-    def text(raw: str, pre: bool) -> None:
+class _Page:
+    """Text being laid out: breaks and spaces wait until the next word."""
+
+    def __init__(self):
+        self.parts: list[str] = []
+        self.breaks, self.space, self.marker = 0, False, ""
+        self.lists: list[list] = []  # open lists: [tag, next number]
+
+    def feed(self, breaks: int) -> None:
+        if not self.marker:
+            self.breaks, self.space = max(self.breaks, breaks), False
+
+    def put(self, word: str) -> None:
+        if self.breaks and self.parts:
+            self.parts.append("\n" * self.breaks)
+        elif self.space and self.parts and not self.marker:
+            self.parts.append(" ")
+        if self.marker:
+            self.parts.append(self.marker)
+        self.parts.append(word)
+        self.breaks, self.space, self.marker = 0, False, ""
+
+    def text(self, raw: str, pre: bool) -> None:
         if pre:
-            out.extend(raw)
+            body = raw.rstrip("\n")
+            if body:
+                self.put(body)
+            self.breaks += len(raw) - len(body)
             return
-        for word in re.split(r"(\s+)", raw):
-            if not word:
-                continue
-            if word.isspace():
-                if out and out[-1] not in (" ", "\n"):
-                    out.append(" ")
-            else:
-                out.append(word)
-
-    def table(node: Node) -> None:
-        rows: list[list[str]] = []
-
-        def find(x: Node) -> None:
-            for kid in x.kids:
-                if isinstance(kid, Node) and not kid.hidden():
-                    if kid.tag == "tr":
-                        rows.append([re.sub(r"\s+", " ", render(c)).strip() for c in kid.kids if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden()])
-                    elif kid.tag == "caption":
-                        rows.append([re.sub(r"\s+", " ", render(kid)).strip()])
-                    elif kid.tag in ("tbody", "thead", "tfoot"):
-                        find(kid)
-                    else:
-                        rows.append([re.sub(r"\s+", " ", render(kid)).strip()])
-                elif isinstance(kid, str) and kid.strip():
-                    rows.append([kid.strip()])
-
-        find(node)
+        words = raw.split()
+        if not words:
+            self.space = self.space or bool(raw)
+            return
+        self.space = self.space or raw[0].isspace()
+        self.put(" ".join(words))
+        self.space = raw[-1].isspace()
+
+    def item(self, node: Node) -> None:
+        depth, number = "  " * max(len(self.lists) - 1, 0), "- "
+        if self.lists and self.lists[-1][0] == "ol":
+            at = _number(node.values().get("value"), self.lists[-1][1], 10**9)
+            number, self.lists[-1][1] = f"{at}. ", at + 1
+        self.marker = depth + number
+
+    def close_item(self) -> None:
+        if self.marker:
+            mark, self.marker = self.marker.rstrip(), ""
+            self.put(mark)
+
+    def done(self) -> str:
+        return "".join(self.parts).strip("\n")
+
+
+class _Table:
+    """Cells of a table as they are rendered: rows of (text, columns, rows spanned)."""
+
+    def __init__(self):
+        self.rows: list[list[tuple[str, int, int]]] = []
+
+    def lines(self) -> list[str]:
+        placed, open_ = [], {}  # open_: column -> rows still taken by a cell above
+        widest, high = max(map(len, self.rows), default=0), len(self.rows)  # wider or longer spans cross nothing more
+        for row in self.rows:
+            out, c = [], 0
+            for text, columns, rows in row:
+                columns, rows = min(columns, widest), min(rows, high)
+                while open_.get(c):
+                    c += 1
+                out.append((c, columns, text.split("\n")))
+                if rows > 1:
+                    open_ |= dict.fromkeys(range(c, c + columns), rows)
+                c += columns
+            open_ = {k: v - 1 for k, v in open_.items() if v > 1}
+            placed.append(out)
         width: dict[int, int] = {}
-        for row in rows:
-            for c, cell in enumerate(row[:-1]):
-                width[c] = max(width.get(c, 0), len(cell))
-        for row in rows:
-            if any(row):
-                feed(1)
-                out.append("  ".join(cell.ljust(width.get(c, 0)) if c < len(row) - 1 else cell for c, cell in enumerate(row)))
-
-    work: list = [(root, False, None)]
-    counters: list[int] = []
+        for row in placed:
+            for c, columns, text in row:
+                if columns == 1:
+                    width[c] = max(width.get(c, 0), *(len(x) for x in text if len(x) <= WIDEST), 0)
+        out = []
+        for row in placed:
+            if not any(any(text) for _, _, text in row):
+                continue
+            for k in range(max(len(text) for _, _, text in row)):
+                line, column = "", 0
+                for c, columns, text in row:
+                    while column < c:  # a column that a cell above takes
+                        line += " " * (width.get(column, 0) + 2)
+                        column += 1
+                    part = text[k] if k < len(text) else ""
+                    room = sum(width.get(x, 0) for x in range(c, c + columns)) + 2 * (columns - 1)
+                    line += part.ljust(room) + "  "
+                    column = c + columns
+                out.append(line.rstrip())
+        return out
+
+
+def render(root: Node) -> str:
+    """Visible text with block spacing, lists and aligned table cells."""
+    pages = [_Page()]
+    work: list = [(root, False, True)]
+
+    def table(node: Node, pre: bool, seen: bool) -> None:
+        grid, steps, walk = _Table(), [], [(node, False)]
+        rows: list[list[Node | str]] = []
+        while walk:
+            x, of_row = walk.pop()
+            if isinstance(x, str):
+                if x.strip():
+                    rows.append([x])
+            elif x is node or x.tag in GROUPS:
+                walk.extend((kid, False) for kid in reversed(x.kids))
+            elif x.tag == "tr":
+                if not _gone(x):
+                    rows.append([kid for kid in x.kids if not isinstance(kid, str) or kid.strip()])
+            elif not _gone(x):
+                rows.append([x])
+
+        def begin():
+            pages.append(_Page())
+
+        def end(r, columns, spanned):
+            grid.rows[r].append((pages.pop().done(), columns, spanned))
+
+        for r, row in enumerate(rows):
+            grid.rows.append([])
+            for cell in row:
+                v = cell.values() if isinstance(cell, Node) and cell.tag in CELLS else {}
+                if isinstance(cell, Node) and _gone(cell):
+                    continue
+                spans = max(1, _number(v.get("colspan"), 1, 1000)), max(1, _number(v.get("rowspan"), 1, 65534))
+                steps += [begin, (cell, pre, seen), lambda r=r, s=spans: end(r, *s)]
+
+        def close():
+            for line in grid.lines():
+                pages[-1].feed(1)
+                pages[-1].put(line)
+            pages[-1].feed(2)
+
+        work.append(close)
+        work.extend(reversed(steps))
+
     while work:
-        item = work.pop()
-        if callable(item):
-            item()
+        step = work.pop()
+        if callable(step):
+            step()
             continue
-        node, pre, kind = item
+        node, pre, seen = step
+        page = pages[-1]
         if isinstance(node, str):
-            text(node, pre)
-            continue
-        if node.hidden():
+            if seen:
+                page.text(node, pre)
             continue
         tag = node.tag
         if tag == "br":
-            while out and out[-1] == " ":
-                out.pop()
-            out.append("\n")
+            page.breaks = min(page.breaks + 1, 2)
+            page.space = False
             continue
         if tag == "hr":
-            feed(2)
+            page.feed(2)
             continue
-        if tag == "img":
+        if tag in VOID or _gone(node):
             continue
+        style = node.values().get("style", "").replace(" ", "") if node.attrs else ""
+        if "visibility:" in style:
+            seen = "visibility:hidden" not in style and "visibility:collapse" not in style
         breaks = 2 if tag in APART else 1 if tag in BLOCK else 0
-        if tag in ("ul", "ol") and kind is not None:
+        if tag in ("ul", "ol") and page.lists or tag in (*CELLS, *GROUPS):
             breaks = 1
+        if tag in CELLS and len(pages) > 1:
+            breaks = 0
         if breaks:
-            feed(breaks)
-        if tag == "table":
-            table(node)
-            feed(2)
+            page.feed(breaks)
+            work.append(lambda p=page, b=breaks: p.feed(b))
+        if tag == "table" and node.height < DEEP:
+            table(node, pre, seen)
             continue
         if tag == "li":
-            depth = max(len(counters) - 1, 0)
-            if kind == "ol" and counters:
-                counters[-1] += 1
-            out.append("  " * depth + (f"{counters[-1]}. " if kind == "ol" and counters else "- "))
-        if breaks:
-            work.append(lambda b=breaks: feed(b))
-        inner = kind
-        if tag in ("ul", "ol"):
-            counters.append(0)
-            inner = tag
-            work.append(lambda: counters.pop())
-        work.extend((kid, pre or tag == "pre", inner) for kid in reversed(node.kids))
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", "".join(out))).strip()
+            page.item(node)
+            work.append(page.close_item)
+        elif tag in ("ul", "ol"):
+            page.lists.append([tag, _number(node.values().get("start"), 1, 10**9)])
+            work.append(lambda p=page: p.lists.pop())
+        kids = node.kids
+        if tag in ("pre", "textarea"):
+            if kids and isinstance(kids[0], str) and kids[0].startswith("\n"):
+                kids = [kids[0][1:], *kids[1:]]
+            pre = True
+        work.extend((kid, pre, seen) for kid in reversed(kids))
+    return pages[0].done()
+
+
+def _gone(node: Node) -> bool:
+    if node.tag in UNSEEN:
+        return True
+    if not node.attrs:
+        return False
+    v = node.values()
+    return "hidden" in v or "display:none" in v.get("style", "").replace(" ", "")
 
 
 def html_to_text(markup: str | None) -> str:
@@ -198,7 +368,7 @@ def html_to_text(markup: str | None) -> str:
 
 def _extract(batches):
     for batch in batches:
-        texts = [html_to_text(x) for x in batch.column(1).to_pylist()]
+        texts = [html_to_text(x.as_py()) for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64()), pa.array([x.count("\n") + 1 if x else 0 for x in texts], pa.int64())], names=["id", "text", "n_chars", "n_lines"])
 
 
