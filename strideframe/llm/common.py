@@ -42,6 +42,13 @@ def save(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def written_bytes(df: DataFrame) -> int:
+    """Size of a table written by save()."""
+    spark = df.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getContentSummary(where).getLength()
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete tables written by save() that no later read needs."""
     for df in frames:

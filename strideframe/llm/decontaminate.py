@@ -21,7 +21,7 @@ from . import common
 
 #: fixed word list of measurement units
 UNITS = "km cm mm kg mg lb oz mph kph km/h m/s ms min hr hrs hours hour minutes minute seconds second days day weeks week months month years year meters meter metres metre miles mile feet foot inches inch grams gram litres liters dollars euros percent"
-MAX_BROADCAST_ITEMS = 20_000
+MAX_BROADCAST_BYTES = 16 << 20  # of the written table of the benchmark's windows
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 _OUTER = r"(?:[^\p{L}\p{N}%\x20]*+\x20[^\p{L}\p{N}\x20\ue000]*+)+"
 
@@ -40,11 +40,17 @@ def _words(df: DataFrame) -> DataFrame:
     return out.select(*[c for c in df.columns if c != "t"], F.split(F.trim(F.replace("marked", F.lit(NAME), F.lit(""))), " ").alias("pw"), F.split(F.trim(slots), " ").alias("ks"))
 
 
-def _windows(df: DataFrame, n: int) -> DataFrame:
-    """id, pos (from 1), key: a row per window and one more where plain words differ; a text shorter than n words is one window."""
-    at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("ks") - (n - 1), F.lit(1))))
-    words = _words(df).where(F.get("pw", 0) != "").select("id", "ks", "pw", at.alias("pos"))
-    keys = words.select("id", "pos", F.xxhash64(F.slice("ks", F.col("pos"), n)).alias("k"), F.xxhash64(F.slice("pw", F.col("pos"), n)).alias("p"))
+def _windows(df: DataFrame, n: int, shorter: list[int]) -> DataFrame:
+    """id, pos (from 1), key: a row per window of n words, or of one of the ``shorter`` sizes, and one more where plain words differ; a text of less than n words is one window too."""
+    size = F.size("ks")
+    starts = lambda m: F.sequence(F.lit(1), F.greatest(size - (m - 1), F.lit(1)))
+    at = F.transform(starts(n), lambda p: F.struct(p.alias("pos"), F.lit(n).alias("long"))) if shorter else starts(n)
+    for m in shorter:
+        at = F.concat(at, F.when(size >= m, F.transform(starts(m), lambda p: F.struct(p.alias("pos"), F.lit(m).alias("long")))).otherwise(F.array().cast("array<struct<pos:int,long:int>>")))
+    words = _words(df).where(F.get("pw", 0) != "").select("id", "ks", "pw", F.explode(at).alias("at"))
+    pos, long = ("at.pos", F.col("at.long")) if shorter else ("at", n)
+    part = lambda c: F.xxhash64(F.slice(c, F.col(pos), long))
+    keys = words.select("id", F.col(pos).alias("pos"), part("ks").alias("k"), part("pw").alias("p"))
     return keys.select("id", "pos", F.explode(F.when(F.col("k") == F.col("p"), F.array("k")).otherwise(F.array("k", "p"))).alias("key"))
 
 
@@ -64,19 +70,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     n_windows and item_windows count windows of ``seed`` words, share is that of the item's words
     covered, exact says that none of these differs. Of several places in a document the one with
     most words covered is reported, of equals the exact one, then the first. Null and empty texts match nothing, repeated rows give one
-    row a pair, an empty table on either side gives an empty result; other columns are ignored. The
-    item side is broadcast only when the benchmark has at most MAX_BROADCAST_ITEMS rows; beyond that
+    row a pair, an empty table on either side gives an empty result; other columns are ignored. Rows
+    with a null id are not looked at. An item of two words up to ``seed`` - 1 is looked up at its own
+    length and must stand there as it is; one of a single word only matches a text of that word. The
+    item side is broadcast only while its written table has at most MAX_BROADCAST_BYTES; beyond that
     the windows are joined by shuffle. An item's repeated window counts once, at its first place.
     """
     bench = benchmark.select(F.col(item_col).alias("id"), common.text_of(item_text).alias("t")).where(F.col("id").isNotNull()).dropDuplicates(["id", "t"])
-    small = bench.limit(MAX_BROADCAST_ITEMS + 1).count() <= MAX_BROADCAST_ITEMS
-    items = _windows(bench, seed).groupBy(F.col("id").alias("item_id"), "key").agg(F.min("pos").alias("item_pos"))
+    items = _windows(bench, seed, []).groupBy(F.col("id").alias("item_id"), "key").agg(F.min("pos").alias("item_pos"))
     beside = _words(bench).where(F.get("pw", 0) != "").select(F.col("id").alias("item_id"), F.col("pw").alias("item_words"), F.col("ks").alias("item_slots"))
     sizes = items.groupBy("item_id").agg(F.countDistinct("item_pos").cast("int").alias("item_windows"))
     lengths = beside.groupBy("item_id").agg(F.max(F.size("item_words")).alias("n"))
     items = common.save(items.join(sizes, "item_id").join(lengths, "item_id"), "bench-windows")
+    small = common.written_bytes(items) <= MAX_BROADCAST_BYTES
+    shorter = sorted(r["n"] for r in items.where(F.col("n").between(2, seed - 1)).select("n").distinct().collect())  # at most seed - 2 sizes
     rows = docs.select(F.col(id_col).alias("id"), common.text_of(text_col).alias("t")).where(F.col("id").isNotNull())
-    found = _windows(rows, seed).join(F.broadcast(items) if small else items, "key").withColumn("shift", F.col("pos") - F.col("item_pos"))
+    found = _windows(rows, seed, shorter).join(F.broadcast(items) if small else items, "key").withColumn("shift", F.col("pos") - F.col("item_pos"))
     # shifts less than half an item apart share a band: band b holds those from b to b + 2 such steps
     band = F.floor(F.col("shift") / F.greatest(F.lit(seed), F.ceil(F.col("n") / 2))).cast("int")
     hit = F.struct("shift", "item_pos")
@@ -104,13 +113,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     copied = (F.size(spread(plain, window)) >= least * F.col("n")) | F.exists("hits", lambda h: equal(h, F.lit(run)))
     refilled = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["ours"])))
     first = F.array_min(F.transform("hits", lambda h: h["item_pos"] + h["shift"])).cast("long")
-    one = both.where(copied | refilled)
+    one = both.where(copied | (refilled & (F.col("n") >= seed)))
     best = F.struct(F.size("covered").alias("n_covered"), "exact", (-first).alias("back"), F.size(F.array_distinct(F.transform("hits", lambda h: h["item_pos"]))).cast("long").alias("n_windows"), F.col("item_windows").cast("long").alias("item_windows"), (F.size("covered") / F.col("n")).alias("share"))
     out = one.groupBy("id", "item_id").agg(F.max(best).alias("f"))
     return out.select(F.col("id").alias(id_col), "item_id", "f.n_windows", "f.item_windows", "f.share", "f.exact", (-F.col("f.back")).alias("first_word"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of docs without a contaminated pair, all columns."""
-    bad = contamination(docs, benchmark, id_col, **how).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    """The rows of docs without a contaminated pair, all columns; rows with a null id stay."""
+    bad = contamination(docs, benchmark, id_col, **how).select(F.col(id_col).alias("bad")).distinct()
+    return docs.join(bad, docs[id_col] == bad["bad"], "left_anti")
