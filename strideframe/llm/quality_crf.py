@@ -71,28 +71,50 @@ def marginals(x: np.ndarray, w: np.ndarray, trans: np.ndarray) -> tuple[np.ndarr
     return g[:, 1], pair, logz
 
 
+def batch_marginals(x: np.ndarray, lengths: np.ndarray, w: np.ndarray, trans: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """P(good) of each line of many documents at once, and transition counts summed with a weight a document.
+
+    x: the documents' lines one after another, longest document first; step i treats line i of all that have one.
+    """
+    s = x @ w.T
+    e = np.exp(s - s.max(axis=1, keepdims=True))
+    t = np.exp(trans)
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    alive = [int((lengths > i).sum()) for i in range(int(lengths[0]))]
+    f, b, pair = np.empty_like(e), np.ones_like(e), np.zeros((2, 2))
+    for i, m in enumerate(alive):
+        at = starts[:m] + i
+        a = e[at] if i == 0 else (f[at - 1] @ t) * e[at]
+        f[at] = a / a.sum(axis=1, keepdims=True)
+    for i in range(len(alive) - 1, 0, -1):
+        at = starts[: alive[i]] + i
+        v = (e[at] * b[at]) @ t.T
+        b[at - 1] = v / v.sum(axis=1, keepdims=True)
+        p = f[at - 1][:, :, None] * t[None] * (e[at] * b[at])[:, None, :]
+        pair += (p / p.sum(axis=(1, 2), keepdims=True) * weight[: alive[i], None, None]).sum(axis=0)
+    g = f * b
+    return g[:, 1] / g.sum(axis=1), pair
+
+
 def train(docs: list[tuple[str, int]], rounds: int = 40, rate: float = 0.5, l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Emission weights (2 x features) and transitions (2 x 2) by batch gradient ascent (Adagrad).
 
     Classes weigh the same in the sum, however rare one is; a class without rows leaves the prior at 0.5.
     """
-    data = [(line_features(t)[0][:60], int(y)) for t, y in docs]
     w, trans = np.zeros((2, 16)), np.zeros((2, 2))
-    if len({y for _, y in data}) < 2:
+    if len({y for _, y in docs}) < 2:
         return w, trans
-    share = {y: sum(len(x) for x, z in data if z == y) for y in (0, 1)}
+    data = sorted(((line_features(t)[0], int(y)) for t, y in docs), key=lambda d: -len(d[0]))
+    lengths, ys = np.array([len(x) for x, _ in data]), np.array([y for _, y in data])
+    share = np.array([0.5 / lengths[ys == y].sum() for y in (0, 1)])
+    c = share[ys]
+    x, y, line_c = np.concatenate([x for x, _ in data]), np.repeat(ys, lengths), np.repeat(c, lengths)
+    stay = np.diag([(c * (lengths - 1))[ys == k].sum() for k in (0, 1)])
     hw, ht = np.full_like(w, 1e-6), np.full_like(trans, 1e-6)
     for _ in range(rounds):
-        gw, gt = -l2 * w, -l2 * trans
-        for x, y in data:
-            good, pair, _ = marginals(x, w, trans)
-            c = 0.5 / share[y]
-            d = y - good
-            g = c * (d @ x)
-            gw[1] += g
-            gw[0] -= g
-            gt -= c * pair
-            gt[y, y] += c * (len(x) - 1)
+        good, pair = batch_marginals(x, lengths, w, trans, c)
+        g = (line_c * (y - good)) @ x
+        gw, gt = np.stack([-g, g]) - l2 * w, stay - pair - l2 * trans
         hw += gw * gw
         ht += gt * gt
         w = w + rate * gw / np.sqrt(hw)
@@ -116,24 +138,29 @@ def _score(w: np.ndarray, trans: np.ndarray):
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS) -> tuple[np.ndarray, np.ndarray]:
-    """Learn from labelled rows with crc32(id) mod 5 <> 0: max_docs/2 of each label, smallest hashes first."""
-    good = labels.where(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & (F.crc32(F.col(id_col).cast("string")) % 5 != 0)).select(F.col(id_col).alias("id"), F.col("quality").alias("y"))
-    halves = [good.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_docs // 2) for y in (0, 1)]
-    picked = F.broadcast(halves[0].unionByName(halves[1]).dropDuplicates(["id"]))  # at most max_docs rows
-    rows = docs.select(F.col(id_col).alias("id"), F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, 20000).alias("t")).join(picked, "id").select("id", "t", "y").orderBy("id").limit(max_docs).collect()
-    return train([(r["t"], r["y"]) for r in rows])
+    """Learn from the whole texts of labelled rows with crc32(id) mod 5 <> 0: max_docs/2 of each label, smallest hashes first.
+
+    An id whose labels disagree is left out; of several texts under one id the first in byte order counts.
+    """
+    rows = labels.where(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & (F.crc32(F.col(id_col).cast("string")) % 5 != 0))
+    good = rows.groupBy(F.col(id_col).alias("id")).agg(F.min("quality").alias("y"), F.max("quality").alias("other")).where("y = other")
+    halves = [good.where(F.col("y") == y).select("id", "y").orderBy(F.xxhash64("id"), "id").limit(max_docs // 2) for y in (0, 1)]
+    picked = F.broadcast(halves[0].unionByName(halves[1]))  # at most max_docs rows
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(picked, "id")
+    found = texts.groupBy("id").agg(F.min("t").alias("t"), F.first("y").alias("y")).orderBy("id").collect()
+    return train([(r["t"], r["y"]) for r in found])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """One row per input row: id_col, held_out, score, predicted.
 
-    A null or empty text is one empty line and gets a score too. Without labels of both kinds every
+    A null or empty text is one empty line and gets a score too; a null id is never held out. Without labels of both kinds every
     score is 0.5. Repeated rows repeat; an empty table gives an empty result; other columns are ignored.
     """
     w, trans = fit(docs, labels, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(_score(w, trans), f"id {kind}, score double")
-    return scored.select(F.col("id").alias(id_col), (F.crc32(F.col("id").cast("string")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(F.col("id").alias(id_col), F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, training: DataFrame | None = None) -> DataFrame:
