@@ -18,7 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -167,8 +167,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_last(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; of repeated rows one stays."""
-    stay = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    mine = docs.withColumn("_sha", F.sha2(common.text_of(text_col).cast("binary"), 256))
-    kept = mine.join(stay.withColumnRenamed("_sha", "_stay"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_stay")), "left_semi")
-    return kept.drop("_sha")
+    """The rows of docs that stay, with all their columns; of rows that repeat id and text one stays.
+
+    Input columns travel as one struct, so no name of theirs can clash.
+    """
+    sha = F.sha2(common.text_of(text_col).cast("binary"), 256)
+    mine = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), sha.alias("sha"))
+    stay = exact_dedup(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("stay_id"), F.col("text_sha256").alias("stay_sha"))
+    # one row of ``stay`` per (id, text); the join leaves rows sorted and dealt out as the window wants them
+    kept = mine.join(stay, mine["id"].eqNullSafe(stay["stay_id"]) & (mine["sha"] == stay["stay_sha"])).select("row", "stay_id", "stay_sha")
+    first = F.row_number().over(Window.partitionBy("stay_id", "stay_sha").orderBy("stay_sha"))
+    return kept.withColumn("place", first).where("place = 1").select("row.*")
