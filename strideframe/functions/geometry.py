@@ -86,3 +86,20 @@ def smooth_step(t: Column) -> Column:
 
 def luma(r: Column, g: Column, b: Column) -> Column:
     return 0.2126 * r + 0.7152 * g + 0.0722 * b
+
+
+def matrix_from_quaternion(q: Column) -> Column:
+    """Row-major 3x3 rotation of a unit quaternion (x, y, z, w)."""
+    x, y, z, w = (F.get(q, i) for i in range(4))
+    double = lambda a, b, c, d: 2 * (a * b + c * d)
+    return F.array(1 - double(y, y, z, z), double(x, y, -z, w), double(x, z, y, w), double(x, y, z, w), 1 - double(x, x, z, z), double(y, z, -x, w), double(x, z, -y, w), double(y, z, x, w), 1 - double(x, x, y, y))
+
+
+def axis_smoke(x: Column, y: Column, z: Column, pitch: Column, yaw: Column, roll: Column, f: Column, cx: Column, cy: Column) -> Column:
+    """A point straight ahead lands on the image centre, one ahead and right to its right, one ahead and up above it."""
+    b = basis(pitch, yaw, roll)
+    m = camera_to_world(x, y, z, pitch, yaw, roll)
+    at = lambda *ways: project(m, *[p / 100 + sum((10 * b[w][i] for w in ways), F.lit(0.0)) for i, p in enumerate((x, y, z))], f, cx, cy)
+    ahead, right, up = at("forward"), at("forward", "right"), at("forward", "up")
+    ok = (F.abs(F.get(ahead, 0) - cx) < 0.01) & (F.abs(F.get(ahead, 1) - cy) < 0.01) & (F.get(right, 0) > cx + 1) & (F.get(up, 1) < cy - 1)
+    return F.coalesce(ok, F.lit(False))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -40,17 +39,6 @@ def proximity_join(left: DataFrame, right: DataFrame, key: str, x: str, y: str,
     return a.join(b, ["_k", "_cx", "_cy"]).withColumn("dist", F.sqrt(d2)).where(F.col("dist") <= radius).select("l", "r", "dist")
 
 
-def same_pose_pairs(df: DataFrame, key: str, frame: str, x: str, y: str, min_gap: float, radius: float) -> DataFrame:
-    """For each row the nearest earlier row of its key at least ``min_gap`` frames before."""
-    pairs = proximity_join(df, df, key, x, y, radius).where(F.col(f"l.{frame}") - F.col(f"r.{frame}") >= min_gap)
-    return pairs.groupBy(F.col(f"l.{key}").alias(key), F.col(f"l.{frame}").alias("probe")).agg(F.min_by(F.col(f"r.{frame}"), F.struct("dist", F.col(f"r.{frame}"))).alias("match"), F.min("dist").alias("dist"))
-
-
-def round_robin(df: DataFrame, order: list[Column], n: int, out: str = "worker") -> DataFrame:
-    """Rows dealt one by one in order; meant for manifests, whose order is global by definition."""
-    return df.withColumn(out, (F.row_number().over(W.orderBy(*order)) - 1) % n)
-
-
 def first_claim(events: DataFrame, slug: str, worker: str, at: list[str]) -> DataFrame:
     """First writer wins."""
     return events.groupBy(slug).agg(F.min_by(worker, F.struct(*at)).alias("owner"), F.min(at[0]).alias("claimed_at"))

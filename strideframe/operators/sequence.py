@@ -90,3 +90,80 @@ def spaced_waypoints(df: DataFrame, key: str, order: str, value: str, gap: float
 
     narrow = df.select(key, order, value)
     return narrow.groupBy(key).applyInPandas(run, narrow.schema)
+
+
+def smoothed_edges(df: DataFrame, key: str, order: list[str], value: str, half: int) -> DataFrame:
+    """Centred mean over 2 * half + 1 rows with the first and last value standing in beyond the ends; the ends stay."""
+    w = W.partitionBy(key).orderBy(*order)
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    width = 2 * half + 1
+    rows = df.withColumns({"_i": F.row_number().over(w), "_n": F.count(F.lit(1)).over(whole), "_first": F.first(value).over(whole), "_last": F.last(value).over(whole), "_sum": F.sum(value).over(w.rowsBetween(-half, half))})
+    before, after = F.greatest(F.lit(half + 1) - F.col("_i"), F.lit(0)), F.greatest(F.col("_i") + half - F.col("_n"), F.lit(0))
+    mean = (F.col("_sum") + before * F.col("_first") + after * F.col("_last")) / width
+    end = (F.col("_i") == 1) | (F.col("_i") == F.col("_n")) | (F.col("_n") < width)
+    return rows.withColumn("smoothed", F.when(end, F.col(value)).otherwise(mean)).drop("_i", "_n", "_first", "_last", "_sum")
+
+
+def curvature_cap(df: DataFrame, key: str, order: list[str], x: str, y: str, v_max: float, a_lat: float, floor: float) -> DataFrame:
+    """``cap``: speed that keeps lateral acceleration on the circle through three neighbouring points, v_max at the ends and on straights."""
+    w = W.partitionBy(key).orderBy(*order)
+    at = lambda c, f: f(c).over(w)
+    ax, ay, bx, by, cx, cy = at(x, F.lag), at(y, F.lag), F.col(x), F.col(y), at(x, F.lead), at(y, F.lead)
+    sides = F.hypot(ax - bx, ay - by) * F.hypot(bx - cx, by - cy) * F.hypot(ax - cx, ay - cy)
+    area = F.abs((bx - ax) * (cy - ay) - (cx - ax) * (by - ay)) / 2
+    bend = F.when((area >= 1e-6) & (sides >= 1e-6), F.sqrt(a_lat * sides / (4 * F.nullif(area, F.lit(0.0)))))
+    return df.withColumn("cap", F.greatest(F.least(F.lit(v_max), F.coalesce(bend, F.lit(v_max))), F.lit(floor)))
+
+
+def reachable_speed(df: DataFrame, key: str, order: str, x: str, y: str, cap: str, a_long: float) -> DataFrame:
+    """``speed``: the cap made reachable by acceleration a_long, forwards and then backwards along the path.
+
+    With s the arc length, v(i)^2 = min over j of cap(j)^2 + 2 a |s(i) - s(j)|; before i that is a running minimum of
+    cap^2 - 2 a s, after i one of cap^2 + 2 a s, so two windows replace both recurrences.
+    """
+    w = W.partitionBy(key).orderBy(order)
+    d = F.coalesce(F.hypot(F.col(x) - F.lag(x).over(w), F.col(y) - F.lag(y).over(w)), F.lit(0.0))
+    rows = df.withColumn("_d", d).withColumn("_s", F.sum("_d").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    q, two = F.col(cap) * F.col(cap), 2 * a_long
+    rows = rows.withColumns({"_lo": q - two * F.col("_s"), "_hi": q + two * F.col("_s")})
+    past = F.min("_lo").over(w.rowsBetween(W.unboundedPreceding, 0)) + two * F.col("_s")
+    ahead = F.min("_hi").over(w.rowsBetween(0, W.unboundedFollowing)) - two * F.col("_s")
+    return rows.withColumn("speed", F.sqrt(F.greatest(F.least(past, ahead), F.lit(0.0)))).drop("_d", "_s", "_lo", "_hi")
+
+
+def entries(df: DataFrame, key: str, order: list[str], flag: str) -> DataFrame:
+    """Rows whose flag is true while the previous row's is not."""
+    w = W.partitionBy(key).orderBy(*order)
+    return df.withColumn("_before", F.coalesce(F.lag(flag).over(w), F.lit(False))).where(F.col(flag) & ~F.col("_before")).drop("_before")
+
+
+def jumps(df: DataFrame, key: str, order: list[str], value: str) -> DataFrame:
+    """``jump``: absolute change of a value from the previous row, null on the first."""
+    w = W.partitionBy(key).orderBy(*order)
+    return df.withColumn("jump", F.abs(F.col(value) - F.lag(value).over(w)))
+
+
+def corners(df: DataFrame, key: str, order: list[str], x: str, y: str, least_deg: float) -> DataFrame:
+    """First and last row and every row where the direction changes by at least least_deg."""
+    w = W.partitionBy(key).orderBy(*order)
+    into = F.degrees(F.atan2(F.col(y) - F.lag(y).over(w), F.col(x) - F.lag(x).over(w)))
+    out = F.degrees(F.atan2(F.lead(y).over(w) - F.col(y), F.lead(x).over(w) - F.col(x)))
+    turned = F.abs(F.pmod(out - into + 180, F.lit(360.0)) - 180)
+    return df.withColumn("_turn", turned).where(F.col("_turn").isNull() | (F.col("_turn") >= least_deg)).drop("_turn")
+
+
+def resample(df: DataFrame, key: str, x: str, y: str, arc: str, step: float) -> DataFrame:
+    """Points every even share of the path of about ``step``: key, i, s, x, y, by linear interpolation between rows.
+
+    df carries the arc length of each row; each row gives the samples up to its successor, so a path is never gathered.
+    """
+    w = W.partitionBy(key).orderBy(arc)
+    whole = W.partitionBy(key)
+    rows = df.select(key, F.col(arc).alias("s0"), F.col(x).alias("x0"), F.col(y).alias("y0"), F.lead(arc).over(w).alias("s1"), F.lead(x).over(w).alias("x1"), F.lead(y).over(w).alias("y1"), F.max(arc).over(whole).alias("total"))
+    rows = rows.where("total > 0 AND s1 > s0").withColumn("n", F.greatest(F.lit(2), F.bround(F.col("total") / step).cast("int") + 1)).withColumn("gap", F.col("total") / (F.col("n") - 1))
+    lo, hi = F.ceil(F.col("s0") / F.col("gap") - 1e-9), F.ceil(F.col("s1") / F.col("gap") - 1e-9) - 1
+    last = F.when(F.col("s1") >= F.col("total"), F.col("n") - 1).otherwise(hi)
+    rows = rows.withColumn("i", F.explode(F.when(last >= lo, F.sequence(lo, last)).otherwise(F.array().cast("array<bigint>"))))
+    t = F.least(F.greatest((F.col("i") * F.col("gap") - F.col("s0")) / (F.col("s1") - F.col("s0")), F.lit(0.0)), F.lit(1.0))
+    at = lambda c: F.col(f"{c}0") + (F.col(f"{c}1") - F.col(f"{c}0")) * t
+    return rows.select(key, F.col("i").cast("int").alias("i"), (F.col("i") * F.col("gap")).alias("s"), at("x").alias("x"), at("y").alias("y"))

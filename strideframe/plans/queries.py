@@ -13,8 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strideframe.functions import geometry as G
-from strideframe.operators import gates, relational, reports, sequence
-from strideframe.session import table
+from strideframe.operators import gates, relational, reports, rollups, sequence, spatial, status
+from strideframe.session import ensure_checkpoints, table
 from strideframe.streaming import leases
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,17 +107,17 @@ def gaps_and_islands(spark, d):
     return sequence.islands(_events(spark, d), "user_id", "sec", 43200)
 
 
-@query("""WITH x AS (SELECT DISTINCT l_partkey AS k, l_suppkey % 64 AS i FROM lineitem), r AS (SELECT k, i, i - row_number() OVER (PARTITION BY k ORDER BY i) AS g FROM x), s AS (SELECT k, g, count(*) AS n, min(i) AS first FROM r GROUP BY 1, 2)
+@query("""WITH x AS (SELECT DISTINCT l_partkey AS k, l_suppkey AS i FROM lineitem), r AS (SELECT k, i, i - row_number() OVER (PARTITION BY k ORDER BY i) AS g FROM x), s AS (SELECT k, g, count(*) AS n, min(i) AS first FROM r GROUP BY 1, 2)
 SELECT k, n AS run_length, first AS run_start FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, first) AS rn FROM s) WHERE rn = 1""")
 def longest_run(spark, d):
-    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), (F.col("l_suppkey") % 64).alias("i")).distinct()
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_suppkey").alias("i")).distinct()
     return sequence.longest_run(rows, "k", "i")
 
 
-@query("""WITH x AS (SELECT DISTINCT l_orderkey AS k, l_linenumber - 1 AS i FROM lineitem WHERE l_quantity > 5), r AS (SELECT k, i, row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS p FROM x)
+@query("""WITH x AS (SELECT DISTINCT l_orderkey AS k, l_linenumber - 1 AS i FROM lineitem), r AS (SELECT k, i, row_number() OVER (PARTITION BY k ORDER BY i) - 1 AS p FROM x)
 SELECT k, coalesce(min(CASE WHEN i <> p THEN p END), count(*)) AS prefix FROM r GROUP BY k""")
 def torn_prefix(spark, d):
-    rows = table(spark, d, "lineitem").where("l_quantity > 5").select(F.col("l_orderkey").alias("k"), (F.col("l_linenumber") - 1).alias("i"))
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), (F.col("l_linenumber") - 1).alias("i"))
     return sequence.contiguous_prefix(rows, "k", "i")
 
 
@@ -140,9 +140,9 @@ def event_gaps(spark, d):
     return g.groupBy("user_id").agg(F.max("gap").alias("max_gap"), F.when(F.count("gap") >= 4, F.median("gap")).alias("median_gap"))
 
 
-@query("SELECT l_orderkey, l_linenumber, round(l_quantity - next, 6) AS delta FROM (SELECT *, lead(l_quantity) OVER w AS next, lead(l_linenumber) OVER w AS nl FROM (SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem WHERE l_discount > 0.02 GROUP BY 1, 2) WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) WHERE nl = l_linenumber + 1")
+@query("SELECT l_orderkey, l_linenumber, round(l_quantity - next, 6) AS delta FROM (SELECT *, lead(l_quantity) OVER w AS next, lead(l_linenumber) OVER w AS nl FROM (SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY 1, 2) WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) WHERE nl = l_linenumber + 1")
 def adjacent_rows(spark, d):
-    lines = table(spark, d, "lineitem").where("l_discount > 0.02").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))  # line numbers repeat
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))  # line numbers repeat
     p = sequence.adjacent_pairs(lines, "l_orderkey", "l_linenumber", "l_quantity")
     return p.select("l_orderkey", "l_linenumber", F.round(F.col("l_quantity") - F.col("next_value"), 6).alias("delta"))
 
@@ -198,16 +198,16 @@ def undirected_keys(spark, d):
     return table(spark, d, "lineitem").select(*relational.undirected("l_partkey", "l_suppkey")).distinct()
 
 
-@query("SELECT l_returnflag, quantile_cont(l_extendedprice, 0.1) AS p10, median(l_extendedprice) AS p50, quantile_cont(l_extendedprice, 0.9) AS p90, quantile_cont(l_extendedprice, 0.99) AS p99, max(l_extendedprice) AS most, avg(l_extendedprice) AS mean FROM lineitem GROUP BY 1")
+@query("SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.1), 6) AS p10, round(median(l_extendedprice), 6) AS p50, round(quantile_cont(l_extendedprice, 0.9), 6) AS p90, round(quantile_cont(l_extendedprice, 0.99), 6) AS p99, max(l_extendedprice) AS most, round(avg(l_extendedprice), 4) AS mean FROM lineitem GROUP BY 1")
 def percentiles(spark, d):
-    p = lambda q: F.percentile("l_extendedprice", q)
-    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(p(0.1).alias("p10"), F.median("l_extendedprice").alias("p50"), p(0.9).alias("p90"), p(0.99).alias("p99"), F.max("l_extendedprice").alias("most"), F.avg("l_extendedprice").alias("mean"))
+    shares = {"p10": 0.1, "p50": 0.5, "p90": 0.9, "p99": 0.99}
+    r = rollups.percentile_table(table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", shares)
+    return r.select("l_returnflag", *[F.round(n, 6).alias(n) for n in shares], "most", F.round("mean", 4).alias("mean"))
 
 
 @query("SELECT o_custkey, o_totalprice AS upper_median FROM (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice) AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE r = n // 2 + 1")
 def upper_median(spark, d):
-    x = F.sort_array(F.collect_list("o_totalprice"))
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.get(x, F.floor(F.size(x) / 2).cast("int")).alias("upper_median"))
+    return rollups.upper_median(table(spark, d, "orders"), "o_custkey", "o_totalprice")
 
 
 @query("""WITH h AS (SELECT l_returnflag, CAST(floor(l_quantity) AS BIGINT) AS bin, count(*) AS n FROM lineitem GROUP BY 1, 2), c AS (SELECT *, sum(n) OVER (PARTITION BY l_returnflag ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY l_returnflag) AS total FROM h)
@@ -234,10 +234,7 @@ def band_check(spark, d):
 
 @query("SELECT u.user_id, t.event_type FROM (SELECT DISTINCT user_id FROM events) u, (SELECT DISTINCT event_type FROM events) t WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id AND e.event_type = t.event_type AND e.value > 95)")
 def missing_labels(spark, d):
-    e = table(spark, d, "events")
-    labels = sorted(r[0] for r in e.select("event_type").distinct().limit(100).collect())  # a closed vocabulary
-    want = e.select("user_id").distinct().select("user_id", F.explode(F.array(*map(F.lit, labels))).alias("event_type"))
-    return want.join(e.where("value > 95"), ["user_id", "event_type"], "left_anti").select("user_id", "event_type")
+    return rollups.missing_labels(table(spark, d, "events"), "user_id", "event_type", F.col("value") > 95)
 
 
 @query("SELECT o_custkey, o_orderkey AS best, o_totalprice AS price FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'F' DESC, o_totalprice DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1")
@@ -267,7 +264,8 @@ def stride_sample(spark, d):
 
 @query("SELECT s_suppkey, (row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) - 1) % 10 AS worker FROM supplier")
 def round_robin(spark, d):
-    return relational.round_robin(table(spark, d, "supplier"), [F.desc("s_acctbal"), F.col("s_suppkey")], 10).select("s_suppkey", F.col("worker").cast("long").alias("worker"))
+    ensure_checkpoints(spark)
+    return status.deal(table(spark, d, "supplier"), [F.desc("s_acctbal"), F.col("s_suppkey")], 10).select("s_suppkey", F.col("worker").cast("long").alias("worker"))
 
 
 @query("SELECT p_brand, p_partkey, rank FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rank FROM part) WHERE rank <= 3")
@@ -280,17 +278,13 @@ def page_of_rows(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").offset(10).limit(20)
 
 
-@query("""WITH p AS (SELECT l_suppkey AS k, l_orderkey * 8 + l_linenumber AS frame, l_quantity AS x, l_discount * 100 AS y FROM lineitem)
-SELECT k, probe, round(min(dist), 6) AS dist FROM (SELECT a.k, a.frame AS probe, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS dist FROM p a JOIN p b ON a.k = b.k AND a.frame - b.frame >= 240) WHERE dist <= 1.5 GROUP BY 1, 2""")
+@query("""WITH p AS (SELECT l_suppkey AS k, l_orderkey * 8 + l_linenumber AS frame, l_quantity AS x, l_discount * 100 AS y, l_partkey % 360 AS yaw FROM lineitem),
+m AS (SELECT a.k, a.frame AS probe, b.frame AS f, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS dist FROM p a JOIN p b ON a.k = b.k AND a.frame - b.frame >= 240 WHERE abs(((a.yaw - b.yaw + 540) % 360 + 360) % 360 - 180) <= 10)
+SELECT k, probe, round(min(dist), 6) AS dist FROM m WHERE dist <= 1.5 GROUP BY 1, 2""")
 def same_pose_pairs(spark, d):
-    p = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("frame"), F.col("l_quantity").alias("x"), (F.col("l_discount") * 100).alias("y"))
-    return relational.same_pose_pairs(p, "k", "frame", "x", "y", 240, 1.5).select("k", "probe", F.round("dist", 6).alias("dist"))
-
-
-@query("WITH e AS (SELECT DISTINCT l_orderkey, l_partkey % 50 AS u, l_suppkey % 50 AS v FROM lineitem), n AS (SELECT least(u, v) AS a, greatest(u, v) AS b, count(*) AS n FROM e GROUP BY 1, 2) SELECT a, b FROM n WHERE n = 1")
-def boundary_edges(spark, d):
-    e = table(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") % 50).alias("u"), (F.col("l_suppkey") % 50).alias("v")).distinct()
-    return e.groupBy(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("a", "b")
+    c = F.col
+    p = table(spark, d, "lineitem").select(c("l_suppkey").alias("k"), (c("l_orderkey") * 8 + c("l_linenumber")).alias("frame"), c("l_quantity").alias("x"), (c("l_discount") * 100).alias("y"), (c("l_partkey") % 360).cast("double").alias("yaw"))
+    return spatial.same_pose(p, "k", "frame", 240, 1.5, 10.0).select("k", "probe", F.round("dist", 6).alias("dist"))
 
 
 @query("SELECT user_id, min(sec) AS claimed_at, arg_min(event_id, (sec, event_id)) AS owner FROM " + EV + " GROUP BY user_id")
@@ -345,22 +339,24 @@ def json_flatten(spark, d):
     return e.select("event_id", "k", "v")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS u, l_suppkey + 10000000 AS v FROM lineitem), b AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
+r(id, near) AS (SELECT DISTINCT u, u FROM b UNION SELECT r.id, b.v FROM r JOIN b ON b.u = r.near) SELECT id, min(near) AS component FROM r GROUP BY id""")
 def components(spark, d):
+    """Part-supplier links of all rows; stands for triangles that share an edge."""
+    ensure_checkpoints(spark)
     e = table(spark, d, "lineitem").select(F.col("l_partkey").alias("u"), (F.col("l_suppkey") + 10_000_000).alias("v"))
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strideframe-"))
     return relational.connected_components(e)
 
 
-@query()
+_STEPS = f"e AS (SELECT user_id, sec, value, row_number() OVER (PARTITION BY user_id ORDER BY sec, event_id) AS i FROM {EV})"
+
+
+@query(f"WITH RECURSIVE {_STEPS}, r AS (SELECT user_id, i, sec, value, value AS limited FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.i, e.sec, e.value, least(greatest(e.value, r.limited - 5), r.limited + 5) FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1) SELECT user_id, sec, value, round(limited, 6) AS limited FROM r")
 def slew_limited(spark, d):
-    return sequence.slew_limited(_events(spark, d), "user_id", "sec", "value", 5.0)
+    return sequence.slew_limited(_events(spark, d), "user_id", "sec", "value", 5.0).withColumn("limited", F.round("limited", 6))
 
 
-@query()
+@query(f"WITH RECURSIVE {_STEPS}, r AS (SELECT user_id, i, sec, value, value AS last, true AS kept FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.i, e.sec, e.value, CASE WHEN abs(e.value - r.last) >= 20 THEN e.value ELSE r.last END, abs(e.value - r.last) >= 20 FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1) SELECT user_id, sec, value FROM r WHERE kept")
 def spaced_waypoints(spark, d):
     return sequence.spaced_waypoints(_events(spark, d), "user_id", "sec", "value", 20.0)
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,3 +32,17 @@ def build_session(app: str = "strideframe", master: str | None = None, **conf: s
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One table under ``root``; read by Spark only, so any store it knows will do."""
     return spark.read.parquet(f"{root}/{name}.parquet")
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Let checkpoint() write to ``spark.checkpoint.dir``; only local runs without it use a temporary folder."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = tempfile.mkdtemp(prefix="strideframe-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+    context.setCheckpointDir(path)
