@@ -2,11 +2,14 @@
 
 Documents become token ids (byte-level BPE plus id 0); whole sequences of ``capacity`` tokens are
 cut off first and the remainders are items of length 1..capacity-1. Their histogram has fewer
-rows than ``capacity`` and is all the driver sees. A linear program over packing patterns is solved
-by column generation: its dual prices feed a knapsack dynamic program, which finds the pattern
-worth most; patterns are added until none improves. The solution is rounded down, the rest packed
-first-fit decreasing, and every pattern copy becomes one sequence. An item finds its slot from
-its rank among the items of its length, so no group is ever gathered in one task.
+rows than ``capacity`` and is all the driver sees. A pattern costs what its sequence takes up: ``capacity``,
+or just its own length where that is a power of two. The linear program over patterns is solved by the
+simplex method; when no known pattern improves it, its dual prices feed a knapsack dynamic program, whose
+table gives the best pattern of every size and the best one around each length; all that improve are added,
+until none does. The solution is rounded: patterns are taken as often as their value says and the items
+left allow, and what is left is a smaller program, until nothing is. Every pattern copy becomes one
+sequence. An item finds its slot from its rank among the items of its length, so no group is ever gathered
+in one task.
 """
 
 from __future__ import annotations
@@ -16,12 +19,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 CAPACITY = 1024
+COLUMNS = 24  # patterns added to the program at a time; the program is solved again until none improves it
 _ENCODERS: dict[str, object] = {}
 
 
@@ -47,104 +51,157 @@ def encoder(json_path: str):
     return _ENCODERS[json_path]
 
 
-def knapsack(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack over lengths 1..capacity with the given values: (best, count of each length)."""
-    lengths = np.flatnonzero(value > 1e-12)
-    best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
+def padded(used: int, capacity: int = CAPACITY) -> int:
+    """What a sequence of ``used`` tokens takes up."""
+    return used if used & (used - 1) == 0 else capacity
+
+
+def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """best[c]: greatest value of items that fill exactly c (-inf: none do); last[c]: place of one of its items."""
+    best, last = np.full(capacity + 1, -np.inf), np.full(capacity + 1, -1)
+    best[0] = 0.0
+    fit = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        fit = lengths[: np.searchsorted(lengths, c, side="right")]
-        if len(fit):
-            v = best[c - fit] + value[fit]
+        if n := fit[c]:
+            v = best[c - lengths[:n]] + value[:n]
             k = int(v.argmax())
-            if v[k] > best[c] + 1e-12:
-                best[c], take[c] = v[k], fit[k]
-    counts = np.zeros(len(value), dtype=np.int64)
-    c = capacity
-    while c > 0:
-        if take[c]:
-            counts[take[c]] += 1
-            c -= take[c]
-        else:
-            c -= 1
-    return float(best[capacity]), counts
+            if v[k] > -np.inf:
+                best[c], last[c] = v[k], k
+    return best, last
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, max_columns: int = 400) -> list[tuple[int, dict[int, int]]]:
-    """[(times, {length: count})]: patterns that hold every item exactly once."""
-    lengths = sorted(k for k, n in histogram.items() if n > 0)
-    if not lengths:
-        return []
-    demand = np.array([histogram[k] for k in lengths], dtype=float)
-    m = len(lengths)
-    columns = [{i: capacity // k} for i, k in enumerate(lengths)]
-    basis = list(range(m))
-    inverse = np.diag([1.0 / (capacity // k) for k in lengths])
-    x = inverse @ demand
-    for _ in range(max_columns):
-        dual = inverse.sum(axis=0)
-        value = np.zeros(capacity + 1)
-        value[lengths] = dual
-        best, counts = knapsack(np.maximum(value, 0), capacity)
-        if best <= 1 + 1e-6:
-            break
-        column = {i: int(counts[k]) for i, k in enumerate(lengths) if counts[k]}
-        a = np.zeros(m)
-        for i, n in column.items():
-            a[i] = n
-        d = inverse @ a
-        up = np.flatnonzero(d > 1e-9)
-        if not len(up):
+def _traced(last: np.ndarray, lengths: np.ndarray, c: int) -> dict[int, int]:
+    out: dict[int, int] = {}
+    while c:
+        k = int(last[c])
+        out[k] = out.get(k, 0) + 1
+        c -= int(lengths[k])
+    return out
+
+
+def improving(lengths: np.ndarray, dual: np.ndarray, capacity: int, gap: float) -> list[dict[int, int]]:
+    """Patterns (place -> count) worth more at the dual prices than they cost, by the share ``gap``: the best of each size and around each length."""
+    use = np.flatnonzero(dual > 1e-12)
+    some = lengths[use]
+    best, last = knapsack(some, dual[use], capacity)
+    sizes = [s for s in (1 << e for e in range(capacity.bit_length())) if s < capacity and best[s] > s * (1 + gap)]
+    found = [_traced(last, some, s) for s in sizes]
+    upto = np.maximum.accumulate(best)
+    at = np.zeros(capacity + 1, dtype=np.int64)  # the fullest filling of that value
+    for c in range(1, capacity + 1):
+        at[c] = c if best[c] >= upto[c] else at[c - 1]
+    around = dual[use] + upto[capacity - some]
+    for k in np.argsort(-around, kind="stable")[:COLUMNS]:
+        if around[k] <= capacity * (1 + gap):
             break
-        out = up[np.argmin(x[up] / d[up])]
-        step = x[out] / d[out]
-        x = x - step * d
-        x[out] = step
-        pivot = inverse[out] / d[out]
-        inverse = inverse - np.outer(d, pivot)
-        inverse[out] = pivot
-        columns.append(column)
-        basis[out] = len(columns) - 1
-    left = demand.astype(np.int64).copy()
-    plan: list[tuple[int, dict[int, int]]] = []
-    for j, times in sorted(zip(basis, x, strict=True), key=lambda p: -p[1]):
-        column = columns[j]
-        times = min([int(times + 1e-6), *(int(left[i] // n) for i, n in column.items())])
-        used = sum(lengths[i] * n for i, n in column.items())
-        if times > 0 and capacity - used <= capacity // 64:  # wasteful starting columns go to the best fit below
-            plan.append((times, {lengths[i]: n for i, n in column.items()}))
-            for i, n in column.items():
-                left[i] -= times * n
-    # the rest: exhaustive best fit, longest first; identical bins are counted, not listed
-    rest = {k: int(n) for k, n in zip(lengths, left, strict=True) if n}
-    while rest:
+        pattern = _traced(last, some, int(at[capacity - some[k]]))
+        pattern[int(k)] = pattern.get(int(k), 0) + 1
+        found.append(pattern)
+    return [{int(use[k]): n for k, n in pattern.items()} for pattern in found]
+
+
+def _greedy(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """(times, {place: count}) of an exhaustive best fit, longest item first."""
+    left, out = left.copy(), []
+    live = [int(i) for i in np.flatnonzero(left)]
+    while live:
         room, pattern = capacity, {}
-        for k in sorted(rest, reverse=True):
-            n = min(rest[k], room // k)
-            if n:
-                pattern[k] = n
-                room -= n * k
-        times = max(1, min(rest[k] // n for k, n in pattern.items()))
-        plan.append((times, pattern))
-        for k, n in pattern.items():
-            rest[k] -= times * n
-            if not rest[k]:
-                del rest[k]
-    return plan
+        for i in reversed(live):
+            if lengths[i] <= room and (n := min(int(left[i]), room // int(lengths[i]))):
+                pattern[i] = n
+                room -= n * int(lengths[i])
+        times = max(1, min(int(left[i]) // n for i, n in pattern.items()))
+        out.append((times, pattern))
+        for i, n in pattern.items():
+            left[i] -= times * n
+        live = [i for i in live if left[i]]
+    return out
+
+
+def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3) -> list[tuple[float, dict[int, int]]]:
+    """The linear program's solution: [(times, {place: count})], by the revised simplex method with generated columns.
+
+    It ends when no pattern is worth more than its cost by the share ``gap``, which proves it to be that near the optimum.
+    """
+    m = len(lengths)
+    basis = [{i: max(1, min(int(demand[i]), capacity // int(k)))} for i, k in enumerate(lengths)]
+    weigh = lambda patterns: np.array([padded(int(sum(lengths[i] * n for i, n in p.items())), capacity) for p in patterns], dtype=float)
+    rows = np.diag([float(p[i]) for i, p in enumerate(basis)])
+    cost, inverse = weigh(basis), np.diag(1.0 / rows.diagonal())
+    demand = demand + 1e-6 * np.random.default_rng(0).random(m)  # no two ratios tie, so the simplex method cannot cycle
+    x, pivots = inverse @ demand, 0
+    new = [p for _, p in _greedy(lengths, demand.astype(np.int64), capacity)]
+    while new:
+        before, (table, price) = pivots, (np.zeros((len(new), m)), weigh(new))
+        for j, pattern in enumerate(new):
+            table[j, list(pattern)] = list(pattern.values())
+        while True:
+            gain = table @ (cost @ inverse) / price - 1
+            j = int(gain.argmax())
+            if gain[j] <= gap:
+                break
+            d = inverse @ table[j]
+            up = np.flatnonzero(d > 1e-7)
+            ratio = x[up] / d[up]
+            tied = up[ratio <= ratio.min() + 1e-9]
+            out = tied[d[tied].argmax()]  # the largest pivot keeps the inverse exact
+            step = x[out] / d[out]
+            x = np.maximum(x - step * d, 0.0)
+            x[out] = step
+            row = inverse[out] / d[out]
+            inverse -= np.outer(d, row)
+            inverse[out] = row
+            basis[out], cost[out], rows[out] = new[j], price[j], table[j]
+            pivots += 1
+            if pivots % 256 == 0:
+                inverse = np.linalg.inv(rows.T)
+                x = np.maximum(inverse @ demand, 0.0)
+        new = improving(lengths, cost @ inverse, capacity, gap) if pivots > before else []
+    return [(float(v), p) for v, p in zip(x, basis, strict=True) if v > 1e-9]
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
+    """[(times, {length: count})]: patterns that hold every item exactly once.
+
+    Each round takes the patterns of one linear program, the most frequent first, as often as their value rounded to the
+    nearest (once at least) and the items left allow; the next program packs what is left. After every round an exhaustive
+    best fit of what is left then ends a plan as well; the plan with least padding is returned.
+    """
+    left = {int(k): int(n) for k, n in histogram.items() if n > 0}
+    plan: list[tuple[int, dict[int, int]]] = []
+    best, least, gap = plan, float("inf"), 1e-3
+    size = lambda p: sum(times * padded(sum(k * n for k, n in named.items()), capacity) for times, named in p)
+    while left:
+        lengths = np.array(sorted(left))
+        for times, pattern in sorted(relaxed(lengths, np.array([left[int(k)] for k in lengths], dtype=float), capacity, gap), key=lambda p: -p[0]):
+            named = {int(lengths[i]): n for i, n in pattern.items()}
+            use = min(max(round(times), 1), *(left.get(k, 0) // n for k, n in named.items()))
+            if use:
+                plan.append((use, named))
+                for k, n in named.items():
+                    left[k] -= use * n
+                    if not left[k]:
+                        del left[k]
+        rest = np.array(sorted(left), dtype=np.int64)
+        ended = [*plan, *((t, {int(rest[i]): n for i, n in p.items()}) for t, p in _greedy(rest, np.array([left[int(k)] for k in rest], dtype=np.int64), capacity))]
+        if (total := size(ended)) >= least:
+            break  # another program no longer helps
+        best, least, gap = ended, total, 3e-3
+    return best
 
 
 def _tokenize(json_path: str, capacity: int):
-    names = ["doc_id", "copy", "start", "length", "ids_crc32", "doc_tokens"]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def run(batches):
         encode = encoder(json_path)
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for i, copy, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array([*encode(text), 0], dtype="<u4")
                 for at in range(0, len(ids), capacity):
                     piece = ids[at : at + capacity]
-                    for col, v in zip(out, (i, copy, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)), strict=True):
+                    for col, v in zip(out, (i, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)), strict=True):
                         col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
 
@@ -168,31 +225,22 @@ def _slots(plan: list[tuple[int, dict[int, int]]], base: int) -> dict[int, dict[
     return out
 
 
-def _assign_with(slots: dict, before: dict[int, dict[int, int]], capacity: int, done: dict[int, int]):
+def _assign(slots: dict, capacity: int):
+    """Rows with the rank of their length -> sequence_id and offset."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
         for batch in batches:
-            cols = {n: batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "part")}
-            length = cols["length"].astype(np.int64)
-            seq, off = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
-            order = np.argsort(length, kind="stable")
-            edges = np.flatnonzero(np.diff(length[order])) + 1
-            for rows in np.split(order, edges):
-                if not len(rows):
-                    continue
-                k, part = int(length[rows[0]]), int(cols["part"][0])
-                rank = before[part].get(k, 0) + done.get(k, 0) + np.arange(len(rows))
-                done[k] = done.get(k, 0) + len(rows)
-                if k == capacity:
-                    seq[rows] = rank
-                    continue
-                s = slots[k]
-                p = np.searchsorted(s["first"], rank, side="right") - 1
-                q = rank - s["first"][p]
+            length, rank = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("length", "rank"))
+            seq, off = rank.copy(), np.zeros(len(rank), np.int64)  # a full piece is its own sequence
+            for k in np.unique(length[length < capacity]):
+                rows = np.flatnonzero(length == k)
+                s = slots[int(k)]
+                p = np.searchsorted(s["first"], rank[rows], side="right") - 1
+                q = rank[rows] - s["first"][p]
                 seq[rows] = s["seq"][p] + q // s["each"][p]
                 off[rows] = s["at"][p] + k * (q % s["each"][p])
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in names[:5]] + [pa.array(seq), pa.array(off)], names=names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names[:5]), pa.array(seq), pa.array(off)], names=names)
 
     return run
 
@@ -200,42 +248,20 @@ def _assign_with(slots: dict, before: dict[int, dict[int, int]], capacity: int,
 def pack(docs: DataFrame, json_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A null or empty text is the single id 0. Repeated rows are packed each. Ties of length go by
-    the order within written files. An empty table gives an empty result; other columns are ignored.
-    The plan's ranks come from counts of (file partition, length): at most capacity a partition.
+    A null or empty text is the single id 0, a null id stays null. Repeated rows are packed each. Pieces of one length
+    are numbered by the written part they lie in, then by id, start and checksum; pieces equal in all of
+    these are interchangeable. An empty table gives an empty result; other columns are ignored.
     """
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("copy"), common.text_of(text_col).alias("t"))
-    pieces = text.mapInArrow(_tokenize(json_path, capacity), "doc_id long, copy long, start long, length long, ids_crc32 long, doc_tokens long").drop("copy")
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("t"))
+    pieces = text.mapInArrow(_tokenize(json_path, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
     pieces = common.save(pieces.withColumn("part", F.spark_partition_id()), "pieces")
-    # one row per written part and length; a part's rows are ranked in the order of the file's row ids
-    counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")).orderBy("part", "length").collect()
-    total: dict[int, int] = {}
-    before: dict[int, dict[int, int]] = {}
-    for r in counts:
-        before.setdefault(r["part"], {})[r["length"]] = total.get(r["length"], 0)
-        total[r["length"]] = total.get(r["length"], 0) + r["n"]
+    # rank: pieces of that length in the parts before, from one row per part and length, plus the place in the own part
+    counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = common.save(counts.withColumn("before", before), "piece-offsets")
+    total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
     full = total.pop(capacity, 0)
     slots = _slots(solve(total, capacity), full)
-    # hash partitions may hold several parts; each task's rows are sorted so one part comes after another
-    ranked = pieces.repartition(F.col("part")).sortWithinPartitions("part", "length", "doc_id", "start", "ids_crc32")
-
-    def run(batches):
-        assign, now = None, None
-        for batch in batches:
-            part = batch.column(batch.schema.get_field_index("part")).to_numpy(zero_copy_only=False)
-            for lo in (cuts := [0, *(np.flatnonzero(np.diff(part)) + 1)]):
-                hi = next((c for c in cuts if c > lo), len(part))
-                piece = batch.slice(lo, hi - lo)
-                if part[lo] != now:
-                    now, seen = part[lo], {}
-                    assign = _assign_one(slots, before, capacity, seen)
-                yield assign(piece)
-
-    return ranked.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long").withColumnRenamed("doc_id", id_col)
-
-
-def _assign_one(slots, before, capacity, done):
-    def one(batch):
-        return next(_assign_with(slots, before, capacity, done)([batch]))
-
-    return one
+    place = F.row_number().over(Window.partitionBy("part", "length").orderBy("doc_id", "start", "ids_crc32")) - 1
+    ranked = pieces.withColumn("place", place).join(counts.select("part", "length", "before"), ["part", "length"]).withColumn("rank", F.col("before") + F.col("place"))
+    return ranked.mapInArrow(_assign(slots, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long").withColumnRenamed("doc_id", id_col)
