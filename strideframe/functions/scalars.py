@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def dict_literal(text: Column) -> Column:
@@ -59,3 +60,18 @@ def interpolate(known: DataFrame, asked: DataFrame, key: str, at: str, value: st
     width = F.col("_hi.x") - F.col("_lo.x")
     inside = F.col("_lo.y") + (F.col("_hi.y") - F.col("_lo.y")) * F.try_divide(F.col(at) - F.col("_lo.x"), F.nullif(width, F.lit(0.0)))
     return both.where("_ask = 1").select(key, at, F.coalesce(inside, "_lo.y", "_hi.y").alias(value))
+
+
+def flatten(df: DataFrame, key: str, column: str) -> DataFrame:
+    """key, label, value: one row per leaf of a nested struct, labels joined by dots, values as text; nulls stay."""
+
+    def leaves(kind, path):
+        for f in kind.fields:
+            if isinstance(f.dataType, StructType):
+                yield from leaves(f.dataType, [*path, f.name])
+            else:
+                yield [*path, f.name]
+
+    found = leaves(df.schema[column].dataType, [])
+    rows = [F.struct(F.lit(".".join(p)).alias("label"), F.col(".".join([column, *p])).cast("string").alias("value")) for p in found]
+    return df.select(key, F.inline(F.array(*rows)))

@@ -104,19 +104,19 @@ def obstacle_density(cells: DataFrame, obstacles: DataFrame, radius: int) -> Dat
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
             return pd.DataFrame({"map_id": [], "row": [], "col": [], "density": []}).astype({"map_id": str, "row": "int32", "col": "int32", "density": float})
-        if right.empty:
-            right = left.iloc[:0]
-        both = pd.concat([left[["row", "col"]], right[["row", "col"]]])
-        blank, r0, c0 = _grid(both.assign(map_id=""), radius + 1)
+        rows, cols = right.get("at_row", pd.Series(dtype=int)), right.get("at_col", pd.Series(dtype=int))
+        both = pd.DataFrame({"row": pd.concat([left["row"], rows]), "col": pd.concat([left["col"], cols])})
+        blank, r0, c0 = _grid(both, radius + 1)
         taken = np.zeros(blank.shape)
-        taken[right["row"] - r0, right["col"] - c0] = 1
+        taken[rows.astype(int) - r0, cols.astype(int) - c0] = 1
         sums = np.concatenate([np.zeros((taken.shape[0], 1)), np.cumsum(taken, axis=1)], axis=1)
         r, c = left["row"].to_numpy() - r0, left["col"].to_numpy() - c0
         n = sum(sums[r + d, c + h + 1] - sums[r + d, c - h] for d, h in zip(range(-radius, radius + 1), half, strict=True))
         return pd.DataFrame({"map_id": key[0], "row": left["row"], "col": left["col"], "density": n / area})
 
-    group = lambda d: d.select("map_id", "row", "col").groupBy("map_id")
-    return group(cells).cogroup(group(obstacles)).applyInPandas(run, CELLS + ", density double")
+    # new names, so that obstacles taken from the cells themselves keep columns of their own
+    taken = obstacles.select(F.col("map_id").alias("at_map"), F.col("row").alias("at_row"), F.col("col").alias("at_col")).groupBy("at_map")
+    return cells.select("map_id", "row", "col").groupBy("map_id").cogroup(taken).applyInPandas(run, CELLS + ", density double")
 
 
 def picture_stats(pictures: DataFrame, key: list[str], luma: str = "luma") -> DataFrame:

@@ -467,3 +467,26 @@ def dual_metadata(spark, d):
     clip = documents.read_metadata(F.lit('{"mode": "clip"}'))
     m = table(spark, d, "nation").withColumn("m", documents.overlay(text, clip))
     return m.select("n_nationkey", F.col("m")["mode"].alias("mode"), F.col("m")["speed"].alias("speed"), F.col("m")["note"].alias("note"))
+
+
+def _nested(spark, d):
+    inner = F.struct(F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("cust"))
+    return table(spark, d, "orders").select("o_orderkey", F.struct(inner.alias("who"), F.col("o_orderpriority").alias("priority")).alias("doc"))
+
+
+@query("SELECT o_orderkey, label, value FROM (SELECT o_orderkey, unnest(['who.status', 'who.cust', 'priority']) AS label, unnest([o_orderstatus, o_custkey::VARCHAR, o_orderpriority]) AS value FROM orders)")
+def nested_to_rows(spark, d):
+    return S.flatten(_nested(spark, d), "o_orderkey", "doc")
+
+
+@query("SELECT o_orderkey, o_orderstatus AS status, 1 AS fields FROM orders")
+def dropped_field(spark, d):
+    """A struct without one of its fields."""
+    n = _nested(spark, d).withColumn("who", F.col("doc.who").dropFields("cust"))
+    return n.select("o_orderkey", "who.status", F.size(F.json_object_keys(F.to_json("who"))).alias("fields"))
+
+
+@query("SELECT p_partkey, regexp_replace(p_type, '^ECO', '') AS stripped, lower(replace(p_name, ' ', '_')) AS slug FROM part WHERE p_size IN (1, 5, 11)")
+def slugs(spark, d):
+    p = table(spark, d, "part").where(F.col("p_size").isin(1, 5, 11))
+    return p.select("p_partkey", F.regexp_replace("p_type", "^ECO", "").alias("stripped"), F.lower(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("slug"))
