@@ -1,7 +1,7 @@
 """A document pipeline of five stages, each written as Parquet and read again by the next.
 
-No SQL twin exists: the classifier and the packing plan are iterative, so ORACLE_SQL is None and the
-stages are tested against brute-force versions.
+No SQL twin exists: the classifier and the packing plan are iterative, so ORACLE_SQL is None; tests/llm
+holds a run over planted documents against a brute-force version of what each stage must keep.
 """
 
 from __future__ import annotations
@@ -43,7 +43,11 @@ STAGES = [("quality classifier", quality), ("exact dedup", exact), ("n-gram Jacc
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    """All stages over the documents; a stage's table goes once the next one is written."""
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = common.save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            common.forget(before)
+        before = docs
     return docs

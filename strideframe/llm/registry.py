@@ -71,15 +71,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_suffix_array_dedup, op2_packing, op3_url_filter, op4_decontamination, op5_quality_classifier, op6_exact_dedup, op7_html_extraction, op8_secret_scan, op9_ngram_jaccard_join, op10_license_scan)
-    out = {f.__name__: f for f in named}
-    try:
-        import corpus_pipeline
-    except ModuleNotFoundError as e:
-        if e.name != "corpus_pipeline":
-            raise
-    else:
-        out["pipeline"] = corpus_pipeline.run
-    return out
+    return {f.__name__: f for f in named}
 
 
 ORACLES = {
