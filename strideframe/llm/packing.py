@@ -121,7 +121,8 @@ def _greedy(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[
 def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3) -> list[tuple[float, dict[int, int]]]:
     """The linear program's solution: [(times, {place: count})], by the revised simplex method with generated columns.
 
-    It ends when no pattern is worth more than its cost by the share ``gap``, which proves it to be that near the optimum.
+    It ends when no pattern is worth more than its cost by the share ``gap``, or when the value is within that share of the total
+    length, which no packing can beat; either proves it to be that near the optimum.
     """
     m = len(lengths)
     basis = [{i: max(1, min(int(demand[i]), capacity // int(k)))} for i, k in enumerate(lengths)]
@@ -129,7 +130,7 @@ def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float =
     rows = np.diag([float(p[i]) for i, p in enumerate(basis)])
     cost, inverse = weigh(basis), np.diag(1.0 / rows.diagonal())
     demand = demand + 1e-6 * np.random.default_rng(0).random(m)  # no two ratios tie, so the simplex method cannot cycle
-    x, pivots = inverse @ demand, 0
+    x, floor, pivots = inverse @ demand, float(demand @ lengths), 0
     new = [p for _, p in _greedy(lengths, demand.astype(np.int64), capacity)]
     while new:
         before, (table, price) = pivots, (np.zeros((len(new), m)), weigh(new))
@@ -156,7 +157,9 @@ def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float =
             if pivots % 256 == 0:
                 inverse = np.linalg.inv(rows.T)
                 x = np.maximum(inverse @ demand, 0.0)
-        new = improving(lengths, cost @ inverse, capacity, gap) if pivots > before else []
+        if pivots == before or cost @ x <= floor * (1 + gap):
+            break
+        new = improving(lengths, cost @ inverse, capacity, gap)
     return [(float(v), p) for v, p in zip(x, basis, strict=True) if v > 1e-9]
 
 
