@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
+from .conversation_repair import repair
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .html_extract import html_extract
@@ -18,6 +19,7 @@ from .quality_crf import quality_scores
 from .secret_scan import secret_scan
 from .suffix_dedup import remove_repeats
 from .url_filter import url_filter
+from .whitening import whiten
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -69,8 +71,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(docs)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(common.table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(common.table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_suffix_array_dedup, op2_packing, op3_url_filter, op4_decontamination, op5_quality_classifier, op6_exact_dedup, op7_html_extraction, op8_secret_scan, op9_ngram_jaccard_join, op10_license_scan)
+    named = (
+        op1_suffix_array_dedup, op2_packing, op3_url_filter, op4_decontamination, op5_quality_classifier, op6_exact_dedup, op7_html_extraction,
+        op8_secret_scan, op9_ngram_jaccard_join, op10_license_scan, op12_conversation_repair, op13_embedding_whitening,
+    )
     return {f.__name__: f for f in named}
 
 
