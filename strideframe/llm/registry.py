@@ -14,6 +14,7 @@ from .exact_dedup import exact_dedup
 from .html_extract import html_extract
 from .jaccard_join import jaccard_components
 from .license_scan import license_scan
+from .lm_score import lm_scores
 from .packing import pack
 from .quality_crf import quality_scores
 from .secret_scan import secret_scan
@@ -71,6 +72,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(docs)
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_documents(spark, sf_dir))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(common.table(spark, sf_dir, "conversations"))
 
@@ -82,7 +87,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_suffix_array_dedup, op2_packing, op3_url_filter, op4_decontamination, op5_quality_classifier, op6_exact_dedup, op7_html_extraction,
-        op8_secret_scan, op9_ngram_jaccard_join, op10_license_scan, op12_conversation_repair, op13_embedding_whitening,
+        op8_secret_scan, op9_ngram_jaccard_join, op10_license_scan, op11_lm_scoring, op12_conversation_repair, op13_embedding_whitening,
     )
     return {f.__name__: f for f in named}
 
