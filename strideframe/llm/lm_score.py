@@ -1,6 +1,6 @@
 """Language-model scores from a weighted backoff automaton.
 
-The model is an n-gram model of ``order`` words with Dirichlet smoothing: p(w | h) = (c(hw) + m p(w | h')) / (c(h) + m), h' being h
+The model is an n-gram model (three words, by MASSES) with Dirichlet smoothing: p(w | h) = (c(hw) + m p(w | h')) / (c(h) + m), h' being h
 without its first word, down to p(w) = (c(w) + 1/2) / (N + (V + 1) / 2); a text starts after a start mark.
 As an automaton: every n-gram seen in training is a state, its arc carries log10 p(w | h), and the failure
 arc of a state h, to h', carries log10 m / (c(h) + m). One walk from left to right keeps the state, follows failure arcs until
@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 from . import common
 from .jaccard_join import _BYTE, _LOWER, _SPACE, _powers, mix
 
-ORDER = 2
-MASS = 4.0  # m: how many observations the shorter history is worth
+MASSES = (512.0, 4.0)  # m for histories of 1, 2, .. words: how many observations the shorter history is worth; one more than these is the order
 BLOCK_BYTES = 4 << 20  # text of one block; a longer document is a block of its own
 BUCKET_BYTES = 1 << 24  # text for which there is one bucket
 PIECE = 1 << 20  # bytes hashed at once
@@ -109,7 +108,7 @@ def grams(line: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
     """For each length 1..order the key of the n-gram that ends at each place; 0 where a text has none."""
     place = np.arange(len(line)) - np.repeat(starts, np.diff(np.append(starts, len(line))))
     first = (mix(line) & ~_TAG) | np.uint64(1)
-    first[starts] = mix(_START) & ~_TAG  # a history, but no token
+    first[starts] = mix(np.array([_START]))[0] & ~_TAG  # a history, but no token
     out, h = [first], line
     for k in range(2, order + 1):
         h = mix(np.concatenate([np.zeros(1, np.uint64), h[:-1]]) * np.uint64(0xD6E8FEB86659FD93) + line)  # of the k - 1 words before, then this one
@@ -211,13 +210,14 @@ def _answer(table: pa.Table) -> pa.Table:
 class Automaton:
     """States, arcs and failure arcs for the places of a line; totals and index as a block has them."""
 
-    def __init__(self, totals: np.ndarray, index: np.ndarray, tokens: int, words: int, mass: float):
+    def __init__(self, totals: np.ndarray, index: np.ndarray, tokens: int, words: int, masses: tuple[float, ...]):
         seen = totals[index]
         self.order = len(index)
         self.base = np.log10((seen[0] + 0.5) / (tokens + 0.5 * (words + 1)))
         p = 10.0**self.base
         self.arcs, self.known, self.fails = [self.base.tolist()], [seen[0] > 0], []
         for k in range(1, self.order):
+            mass = masses[k - 1]
             history = np.concatenate([[0], seen[k - 1][:-1]])  # the n-gram of length k that ends one place before
             p = np.where(history > 0, (seen[k] + mass * p) / (history + mass), p)
             self.fails.append(np.where(history > 0, np.log10(mass / (history + mass)), 0.0).tolist())
@@ -241,14 +241,16 @@ class Automaton:
         return total
 
 
-def _score(order: int, tokens: int, words: int, mass: float):
+def _score(tokens: int, words: int, masses: tuple[float, ...]):
+    order = len(masses) + 1
+
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         keys, index, line, starts = _states(table, order)
         answers = answers.sort_by("bucket")
         got = [_counts(x.as_buffer().to_pybytes(), n) for x, n in zip(answers.column("data"), answers.column("n").to_pylist(), strict=True)]
         skip = int(len(keys) and keys[0] == 0)
         totals = np.concatenate([np.zeros(skip, np.int64), *got])
-        model = Automaton(totals, index, tokens, words, mass)
+        model = Automaton(totals, index, tokens, words, masses)
         ends = np.append(starts, len(line))[1:]
         base = [float(model.base[a + 1 : b].sum()) for a, b in zip(starts, ends, strict=True)]
         known = [int(model.known[0][a + 1 : b].sum()) for a, b in zip(starts, ends, strict=True)]
@@ -259,7 +261,7 @@ def _score(order: int, tokens: int, words: int, mass: float):
     return run
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, mass: float = MASS) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", masses: tuple[float, ...] = MASSES) -> DataFrame:
     """One row per input row: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A null or empty text is one end. A null id is not held out, so its text trains. Repeated rows repeat and
@@ -270,12 +272,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     blocks = common.save(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_blocks, f"block long, id {kind}, text string"), "lm-blocks")
     size = blocks.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(16, -(-size // BUCKET_BYTES))
-    sent = blocks.groupBy("block").applyInArrow(_send(order, buckets), "block long, bucket long, n long, data binary")
+    sent = blocks.groupBy("block").applyInArrow(_send(len(masses) + 1, buckets), "block long, bucket long, n long, data binary")
     answers = common.save(sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, n long, data binary, words long, tokens long"), "lm-answers")
     common.release(docs.sparkSession)
     n = answers.where("block IS NULL").agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     asked = answers.where("block IS NOT NULL").select("block", "bucket", "n", "data")
     scored = blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
-        _score(order, n["tokens"], n["words"], mass), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        _score(n["tokens"], n["words"], masses), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
