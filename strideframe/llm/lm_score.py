@@ -8,10 +8,11 @@ the next word has an arc, and adds up weights. For a history h the sum of c(hw)
 the probabilities of all words and of "any other word" sum to 1.
 
 The states of a corpus fit no task, so each block of documents (a few MB of text) gets those its own texts can
-reach: it sends its distinct n-grams with their training counts, as sorted 64-bit hashes cut into buckets of hash ranges, to the buckets,
+reach: it sends its distinct n-grams with their training counts, as sorted hashes cut into buckets of hash ranges, to the buckets,
 which add up the counts of all blocks and answer with the totals in the same order. A block then builds its
 states, arcs and failure arcs from the totals and walks its documents. Frequent n-grams are summed in the
-block before they are sent, so a bucket gets each at most once a block. Equal hashes are taken as equal n-grams.
+block before they are sent, so a bucket gets each at most once a block. Equal hashes are taken as equal n-grams: words have
+64 bits, longer n-grams as many more than the corpus needs that one meets another's hash with a chance under 2^-``SPARE``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +33,7 @@ BLOCK_BYTES = 4 << 20  # text of one block; a longer document is a block of its
 BUCKET_BYTES = 1 << 24  # text for which there is one bucket
 PIECE = 1 << 20  # bytes hashed at once
 _START, _END = np.uint64(0x5BD1E995A5A5A5A5), np.uint64(0x1B873593C3C3C3C3)
-_TAG = np.uint64(3)  # the two lowest bits of a key: 0 start mark, else the n-gram's length, 3 for 3 and more
+SPARE = 24
 
 
 def word_hashes(text: bytes) -> np.ndarray:
@@ -105,45 +107,46 @@ def word_starts(text: bytes) -> np.ndarray:
 
 
 def grams(line: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
-    """For each length 1..order the key of the n-gram that ends at each place; 0 where a text has none."""
+    """For each length 1..order the hash of the n-gram that ends at each place; 0 where a text has none."""
     place = np.arange(len(line)) - np.repeat(starts, np.diff(np.append(starts, len(line))))
-    first = (mix(line) & ~_TAG) | np.uint64(1)
-    first[starts] = mix(np.array([_START]))[0] & ~_TAG  # a history, but no token
-    out, h = [first], line
+    out, h = [line], mix(line)
     for k in range(2, order + 1):
         h = mix(np.concatenate([np.zeros(1, np.uint64), h[:-1]]) * np.uint64(0xD6E8FEB86659FD93) + line)  # of the k - 1 words before, then this one
-        out.append(np.where(place >= k - 1, (h & ~_TAG) | np.uint64(min(k, 3)), np.uint64(0)))
+        out.append(np.where(place >= k - 1, h, np.uint64(0)))
     return out
 
 
 def _blocks(batches):
-    """Numbers the documents' blocks within a task; a null text is empty."""
-    number, size, task = 0, 0, None
+    """Packs documents as blocks, a row each; a null text is empty."""
+    number, size, task, ids, texts = 0, 0, None, [], []
+
+    def packed(kind: pa.DataType):
+        nonlocal number, size
+        row = pa.RecordBatch.from_arrays([pa.array([task + number], pa.int64()), pa.array([size], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([texts], pa.list_(pa.string()))], names=["block", "bytes", "ids", "texts"])
+        number, size = number + 1, 0
+        ids.clear()
+        texts.clear()
+        return row
+
     for batch in batches:
         if task is None:
-            from pyspark import TaskContext
-
             task = TaskContext.get().partitionId() << 32
-        sizes = [len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(1)]
-        numbers = []
-        for n in sizes:
-            if size and size + n > BLOCK_BYTES:
-                number, size = number + 1, 0
+        for i, t in zip(batch.column(0), batch.column(1), strict=True):
+            n = len(t.as_buffer()) if t.is_valid else 0
+            if ids and size + n > BLOCK_BYTES:
+                yield packed(batch.schema.field(0).type)
             size += n + 64
-            numbers.append(task + number)
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], names=["block", "id", "text"])
+            ids.append(i.as_py())
+            texts.append(t.as_py() if t.is_valid else "")
+    if ids:
+        yield packed(batch.schema.field(0).type)
 
 
-def _bytes(column: pa.ChunkedArray) -> list[bytes]:
-    return [x.as_buffer().to_pybytes() if x.is_valid else b"" for c in column.chunks for x in c]
-
-
-def _states(table: pa.Table, order: int):
-    """Distinct keys of a block in rising order, for each n-gram length the index at each place, and the line."""
-    line, starts = _line(_bytes(table.column("text")))
-    found = grams(line, starts, order)
-    keys, index = np.unique(np.concatenate(found), return_inverse=True)
-    return keys, index.reshape(order, len(line)), line, starts
+def _states(texts: pa.ListScalar, widths: list[int]):
+    """Per n-gram length the distinct hashes of a block, rising, and the index at each place; the line; its starts."""
+    line, starts = _line([x.as_buffer().to_pybytes() for x in texts.values])
+    found = [np.unique(h >> np.uint64(64 - w), return_inverse=True) for h, w in zip(grams(line, starts, len(widths)), widths, strict=True)]
+    return found, line, starts
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -168,51 +171,55 @@ def _counts(data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _send(order: int, buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        keys, index, line, starts = _states(table, order)
-        learns = np.array([not held(i) for i in table.column("id").to_pylist()])
-        rows = np.repeat(learns, np.diff(np.append(starts, len(line))))
-        counts = np.bincount(index[:, rows].ravel(), minlength=len(keys))
-        skip = int(len(keys) and keys[0] == 0)
-        keys, counts = keys[skip:], counts[skip:]
-        bucket = np.floor(keys.astype(np.float64) / 2.0**64 * buckets).clip(max=buckets - 1).astype(np.int64)
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        used = np.flatnonzero(np.diff(edges))
-        data = [_packed(keys[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]]) for b in used]
-        block = table.column("block")[0].as_py()
-        return pa.table({"block": pa.array([block] * len(used), pa.int64()), "bucket": pa.array(used, pa.int64()), "n": pa.array(np.diff(edges)[used], pa.int64()), "data": pa.array(data, pa.binary())})
+def _send(widths: list[int], buckets: int):
+    """Bucket k * buckets + b holds the n-grams of k + 1 words in the b-th of equal hash ranges."""
+
+    def run(batches):
+        for batch in batches:
+            for block, ids, texts in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                found, line, starts = _states(texts, widths)
+                learns = np.repeat(np.array([not held(i.as_py()) for i in ids.values], dtype=bool), np.diff(np.append(starts, len(line))))
+                for k, (keys, index) in enumerate(found):
+                    counts = np.bincount(index[learns], minlength=len(keys))
+                    bucket = np.floor(keys.astype(np.float64) / 2.0 ** widths[k] * buckets).clip(max=buckets - 1).astype(np.int64)
+                    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+                    used = np.flatnonzero(np.diff(edges))
+                    data = [_packed(keys[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]]) for b in used]
+                    yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(used), pa.int64()), pa.array(used + k * buckets, pa.int64()), pa.array(np.diff(edges)[used], pa.int64()), pa.array(data, pa.binary())], names=["block", "bucket", "n", "data"])
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Totals of a bucket for each block that asked, in its order; and a row with the number and sum of the words."""
-    sizes = table.column("n").to_pylist()
-    parts = [_unpacked(x.as_buffer().to_pybytes(), n) for x, n in zip(table.column("data"), sizes, strict=True)]
-    keys, index = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    total = np.zeros(len(keys), np.int64)
-    np.add.at(total, index, np.concatenate([c for _, c in parts]))
-    words = total[(keys & _TAG) == 1]
-    edges = np.cumsum([0, *sizes])
-    data = [_small(total[index[a:b]]) for a, b in zip(edges, edges[1:], strict=False)]
-    bucket = table.column("bucket")[0].as_py()
-    return pa.table({
-        "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
-        "bucket": pa.array([bucket] * (len(sizes) + 1), pa.int64()),
-        "n": pa.array([*sizes, 0], pa.int64()),
-        "data": pa.array([*data, None], pa.binary()),
-        "words": pa.array([0] * len(sizes) + [int((words > 0).sum())], pa.int64()),
-        "tokens": pa.array([0] * len(sizes) + [int(words.sum())], pa.int64()),
-    })
+def _answer(buckets: int):
+    """Totals of a bucket for each block that asked, in its order; and a row with the number and sum of its words."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sizes = table.column("n").to_pylist()
+        parts = [_unpacked(x.as_buffer().to_pybytes(), n) for x, n in zip(table.column("data"), sizes, strict=True)]
+        keys, index = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, index, np.concatenate([c for _, c in parts]))
+        edges = np.cumsum([0, *sizes])
+        data = [_small(total[index[a:b]]) for a, b in zip(edges, edges[1:], strict=False)]
+        bucket = table.column("bucket")[0].as_py()
+        words = total[keys != _START] if bucket < buckets else total[:0]
+        return pa.table({
+            "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
+            "bucket": pa.array([bucket] * (len(sizes) + 1), pa.int64()),
+            "n": pa.array([*sizes, 0], pa.int64()),
+            "data": pa.array([*data, None], pa.binary()),
+            "words": pa.array([0] * len(sizes) + [int((words > 0).sum())], pa.int64()),
+            "tokens": pa.array([0] * len(sizes) + [int(words.sum())], pa.int64()),
+        })
+
+    return run
 
 
 class Automaton:
-    """States, arcs and failure arcs for the places of a line; totals and index as a block has them."""
+    """States, arcs and failure arcs for the places of a line; seen[k]: training count of the n-gram of k + 1 words that ends there."""
 
-    def __init__(self, totals: np.ndarray, index: np.ndarray, tokens: int, words: int, masses: tuple[float, ...]):
-        seen = totals[index]
-        self.order = len(index)
+    def __init__(self, seen: list[np.ndarray], tokens: int, words: int, masses: tuple[float, ...]):
+        self.order = len(seen)
         self.base = np.log10((seen[0] + 0.5) / (tokens + 0.5 * (words + 1)))
         p = 10.0**self.base
         self.arcs, self.known, self.fails = [self.base.tolist()], [seen[0] > 0], []
@@ -241,21 +248,23 @@ class Automaton:
         return total
 
 
-def _score(tokens: int, words: int, masses: tuple[float, ...]):
-    order = len(masses) + 1
-
-    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, index, line, starts = _states(table, order)
+def _score(widths: list[int], buckets: int, tokens: int, words: int, masses: tuple[float, ...]):
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        found, line, starts = _states(block.column("texts")[0], widths)
         answers = answers.sort_by("bucket")
-        got = [_counts(x.as_buffer().to_pybytes(), n) for x, n in zip(answers.column("data"), answers.column("n").to_pylist(), strict=True)]
-        skip = int(len(keys) and keys[0] == 0)
-        totals = np.concatenate([np.zeros(skip, np.int64), *got])
-        model = Automaton(totals, index, tokens, words, masses)
+        got: list[list[np.ndarray]] = [[] for _ in widths]
+        for bucket, n, data in zip(answers.column("bucket").to_pylist(), answers.column("n").to_pylist(), answers.column("data"), strict=True):
+            got[bucket // buckets].append(_counts(data.as_buffer().to_pybytes(), n))
+        seen = [np.concatenate(x)[index] for x, (_, index) in zip(got, found, strict=True)]
+        place = np.arange(len(line)) - np.repeat(starts, np.diff(np.append(starts, len(line))))
+        for k, x in enumerate(seen):
+            x[place < k] = 0  # no n-gram ends here
+        model = Automaton(seen, tokens, words, masses)
         ends = np.append(starts, len(line))[1:]
         base = [float(model.base[a + 1 : b].sum()) for a, b in zip(starts, ends, strict=True)]
         known = [int(model.known[0][a + 1 : b].sum()) for a, b in zip(starts, ends, strict=True)]
         scores = [model.walk(int(a) + 1, int(b)) for a, b in zip(starts, ends, strict=True)]
-        ids = table.column("id")
+        ids = block.column("ids")[0].values
         return pa.table({"id": ids, "held_out": pa.array([held(i) for i in ids.to_pylist()]), "n_tokens": pa.array(ends - starts - 1, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64())})
 
     return run
@@ -269,15 +278,18 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     every token has probability 1. Whole texts are scored; the memory of a task follows its largest document.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    blocks = common.save(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_blocks, f"block long, id {kind}, text string"), "lm-blocks")
-    size = blocks.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    buckets = max(16, -(-size // BUCKET_BYTES))
-    sent = blocks.groupBy("block").applyInArrow(_send(len(masses) + 1, buckets), "block long, bucket long, n long, data binary")
-    answers = common.save(sent.groupBy("bucket").applyInArrow(_answer, "block long, bucket long, n long, data binary, words long, tokens long"), "lm-answers")
+    packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_blocks, f"block long, bytes long, ids array<{kind}>, texts array<string>")
+    blocks = common.save(packed, "lm-blocks")
+    size = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
+    buckets = max(8, -(-size // BUCKET_BYTES))
+    widths = [64, *[min(64, size.bit_length() + SPARE)] * len(masses)]  # there are fewer n-grams of a length than bytes
+    sent = blocks.select("block", "ids", "texts").mapInArrow(_send(widths, buckets), "block long, bucket long, n long, data binary")
+    answers = common.save(sent.groupBy("bucket").applyInArrow(_answer(buckets), "block long, bucket long, n long, data binary, words long, tokens long"), "lm-answers")
+    del sent
     common.release(docs.sparkSession)
     n = answers.where("block IS NULL").agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     asked = answers.where("block IS NOT NULL").select("block", "bucket", "n", "data")
-    scored = blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
-        _score(n["tokens"], n["words"], masses), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    scored = blocks.select("block", "ids", "texts").groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
+        _score(widths, buckets, n["tokens"], n["words"], masses), f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n["tokens"]).cast("long").alias("train_tokens"), "base_score", "score")
