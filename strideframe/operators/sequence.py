@@ -1,8 +1,7 @@
-"""Operators over ordered rows of an episode: lags, runs, prefixes, smoothing, recurrences."""
+"""Operators over ordered rows of an episode: lags, runs, prefixes, smoothing; recurrences are in scans."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -62,36 +61,6 @@ def heading(df: DataFrame, key: str, order: list[str], x: str, y: str) -> DataFr
     return raw.withColumn("heading", F.coalesce(F.last("_h", True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.lit(0.0))).drop("_h")
 
 
-def slew_limited(df: DataFrame, key: str, order: str, value: str, most: float) -> DataFrame:
-    """Each value may differ from the previous output by ``most`` at most: a recurrence, so one task per key."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        out, last = [], None
-        for v in pdf[value]:
-            last = v if last is None else min(max(v, last - most), last + most)
-            out.append(last)
-        return pdf.assign(limited=out)
-
-    return df.select(key, order, value).groupBy(key).applyInPandas(run, df.select(key, order, value).schema.add("limited", "double"))
-
-
-def spaced_waypoints(df: DataFrame, key: str, order: str, value: str, gap: float) -> DataFrame:
-    """Keep a row if its value lies at least ``gap`` beyond the last kept one."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        keep, last = [], None
-        for v in pdf[value]:
-            ok = last is None or abs(v - last) >= gap
-            keep.append(ok)
-            last = v if ok else last
-        return pdf[keep]
-
-    narrow = df.select(key, order, value)
-    return narrow.groupBy(key).applyInPandas(run, narrow.schema)
-
-
 def smoothed_edges(df: DataFrame, key: str, order: list[str], value: str, half: int) -> DataFrame:
     """Centred mean over 2 * half + 1 rows with the first and last value standing in beyond the ends; the ends stay."""
     w = W.partitionBy(key).orderBy(*order)

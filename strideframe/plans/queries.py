@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strideframe.functions import geometry as G
-from strideframe.operators import gates, relational, reports, rollups, sequence, spatial, status
+from strideframe.operators import gates, relational, reports, rollups, scans, sequence, spatial, status
 from strideframe.session import ensure_checkpoints, table
 from strideframe.streaming import leases
 
@@ -353,12 +353,14 @@ _STEPS = f"e AS (SELECT user_id, sec, value, row_number() OVER (PARTITION BY use
 
 @query(f"WITH RECURSIVE {_STEPS}, r AS (SELECT user_id, i, sec, value, value AS limited FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.i, e.sec, e.value, least(greatest(e.value, r.limited - 5), r.limited + 5) FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1) SELECT user_id, sec, value, round(limited, 6) AS limited FROM r")
 def slew_limited(spark, d):
-    return sequence.slew_limited(_events(spark, d), "user_id", "sec", "value", 5.0).withColumn("limited", F.round("limited", 6))
+    ensure_checkpoints(spark)
+    return scans.slew_limited(_events(spark, d), "user_id", "sec", "value", 5.0).withColumn("limited", F.round("limited", 6))
 
 
 @query(f"WITH RECURSIVE {_STEPS}, r AS (SELECT user_id, i, sec, value, value AS last, true AS kept FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.i, e.sec, e.value, CASE WHEN abs(e.value - r.last) >= 20 THEN e.value ELSE r.last END, abs(e.value - r.last) >= 20 FROM r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1) SELECT user_id, sec, value FROM r WHERE kept")
 def spaced_waypoints(spark, d):
-    return sequence.spaced_waypoints(_events(spark, d), "user_id", "sec", "value", 20.0)
+    ensure_checkpoints(spark)
+    return scans.spaced_waypoints(_events(spark, d), "user_id", "sec", "value", 20.0)
 
 
 @query(f"""
