@@ -30,8 +30,10 @@ CLASSES = {
     "mixed": (r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", 3.9),
     "letters": (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z+/=]+$", 4.1),
 }
-#: digits only, one character repeated, UUIDs, placeholders, words in one case or with one capital each, alone or joined by signs
-ALLOW = [r"^[0-9]+$", r"^(.)\1+$", r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$", r"(?i)example|placeholder|xxxx|0123456789", r"^[/_=+-]*((?:[A-Z]?[a-z]+|[A-Z]+)[/_=+-]+)*(?:[A-Z]?[a-z]+|[A-Z]+)?$"]
+#: digits only, one character repeated, UUIDs, placeholders
+ALLOW = [r"^[0-9]+$", r"^(.)\1+$", r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$", r"(?i)example|placeholder|xxxx|0123456789"]
+#: what words in one case or with one capital each, joined by signs, never hold; a pattern of repeated words would recurse once a word
+NOT_WORDS = r"[^A-Za-z/_=+-]|[a-z][A-Z]|[A-Z][A-Z][a-z]"
 CHUNK = 256
 
 
@@ -87,9 +89,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for kind, (pattern, group, least) in KINDS.items():
         rows = rows.withColumn(kind, F.when(first[kind], _spans(kind, pattern, group, least)).otherwise(none))
     rows = rows.withColumn("found", F.when(first["entropy"], _spans("entropy", CANDIDATE, 1, window)).otherwise(none))
-    allowed = lambda x: F.array(*[v(x).rlike(p) for p in ALLOW])
     bits = lambda v: F.coalesce(*[F.when(v.rlike(p), F.lit(b)) for p, b in CLASSES.values()])
-    allowed = lambda v: F.array_contains(F.array(*[v.rlike(p) for p in ALLOW]), True)
+    allowed = lambda v: F.array_contains(F.array(*[v.rlike(p) for p in ALLOW], ~v.rlike(NOT_WORDS)), True)
     rows = rows.withColumn("entropy", F.filter("found", lambda x: bits(x["v"]).isNotNull() & ~allowed(x["v"]) & (window_entropy(x["v"], window) >= bits(x["v"]))))
     order = {"assign": 0, "access": 1, "hex": 2, "entropy": 3}
     key = lambda names: F.array_sort(F.transform(F.concat(*names), lambda x: F.struct(x["s"].alias("s"), F.coalesce(*[F.when(x["kind"] == k, F.lit(n)) for k, n in order.items()]).alias("o"), F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string")).alias("txt"))))
