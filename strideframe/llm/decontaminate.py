@@ -23,7 +23,7 @@ from . import common
 UNITS = "km cm mm kg mg lb oz mph kph km/h m/s ms min hr hrs hours hour minutes minute seconds second days day weeks week months month years year meters meter metres metre miles mile feet foot inches inch grams gram litres liters dollars euros percent"
 MAX_BROADCAST_BYTES = 16 << 20  # of the written table of the benchmark's windows
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
-_OUTER = r"(?:[^\p{L}\p{N}%\x20]*+\x20[^\p{L}\p{N}\x20\ue000]*+)+"
+_OUTER = r"[^\p{L}\p{N}%\x20]*+\x20[^\p{L}\p{N}\x20\ue000]*+"  # one blank; runs of them are joined afterwards, as a repeated group would recurse
 
 
 def _words(df: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def _words(df: DataFrame) -> DataFrame:
     """
     tidy = F.concat(F.lit(" "), F.regexp_replace(F.translate("t", NAME + NUMBER + UNIT, ""), r"[\x09-\x0D]", " "), F.lit(" "))
     named = F.regexp_replace(tidy, r"([^.!?:|\x20]\x20+)(?=\p{Lu}\p{Ll})", "$1" + NAME)
-    out = df.withColumn("marked", F.lower(F.regexp_replace(named, _OUTER, " ")))
+    out = df.withColumn("marked", F.lower(F.regexp_replace(F.regexp_replace(named, _OUTER, " "), r"\x20{2,}", " ")))
     number = F.regexp_replace("marked", r"\x20\p{N}[\p{N}.,:/-]*+%?(?=\x20)", " " + NUMBER)
     slots = F.regexp_replace(F.regexp_replace(number, rf"{NUMBER} (?:{'|'.join(UNITS.split())})(?=\x20)", f"{NUMBER} {UNIT}"), rf"{NAME}[^\x20]+", NAME)
     return out.select(*[c for c in df.columns if c != "t"], F.split(F.trim(F.replace("marked", F.lit(NAME), F.lit(""))), " ").alias("pw"), F.split(F.trim(slots), " ").alias("ks"))
