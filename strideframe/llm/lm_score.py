@@ -143,10 +143,9 @@ def _blocks(batches):
 
 
 def _states(texts: pa.ListScalar, widths: list[int]):
-    """Per n-gram length the distinct hashes of a block, rising, and the index at each place; the line; its starts."""
+    """The line of a block and its starts, and per n-gram length the hash at each place."""
     line, starts = _line([x.as_buffer().to_pybytes() for x in texts.values])
-    found = [np.unique(h >> np.uint64(64 - w), return_inverse=True) for h, w in zip(grams(line, starts, len(widths)), widths, strict=True)]
-    return found, line, starts
+    return [h >> np.uint64(64 - w) for h, w in zip(grams(line, starts, len(widths)), widths, strict=True)], line, starts
 
 
 def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -172,20 +171,21 @@ def _counts(data: bytes, n: int) -> np.ndarray:
 
 
 def _send(widths: list[int], buckets: int):
-    """Bucket k * buckets + b holds the n-grams of k + 1 words in the b-th of equal hash ranges."""
+    """The n-grams of the last width's length; bucket k * buckets + b holds those of k + 1 words in the b-th of equal hash ranges."""
+    k = len(widths) - 1
 
     def run(batches):
         for batch in batches:
             for block, ids, texts in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
                 found, line, starts = _states(texts, widths)
                 learns = np.repeat(np.array([not held(i.as_py()) for i in ids.values], dtype=bool), np.diff(np.append(starts, len(line))))
-                for k, (keys, index) in enumerate(found):
-                    counts = np.bincount(index[learns], minlength=len(keys))
-                    bucket = np.floor(keys.astype(np.float64) / 2.0 ** widths[k] * buckets).clip(max=buckets - 1).astype(np.int64)
-                    edges = np.searchsorted(bucket, np.arange(buckets + 1))
-                    used = np.flatnonzero(np.diff(edges))
-                    data = [_packed(keys[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]]) for b in used]
-                    yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(used), pa.int64()), pa.array(used + k * buckets, pa.int64()), pa.array(np.diff(edges)[used], pa.int64()), pa.array(data, pa.binary())], names=["block", "bucket", "n", "data"])
+                keys, index = np.unique(found[k], return_inverse=True)
+                counts = np.bincount(index[learns], minlength=len(keys))
+                bucket = np.floor(keys.astype(np.float64) / 2.0 ** widths[k] * buckets).clip(max=buckets - 1).astype(np.int64)
+                edges = np.searchsorted(bucket, np.arange(buckets + 1))
+                used = np.flatnonzero(np.diff(edges))
+                data = [_packed(keys[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]]) for b in used]
+                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(used), pa.int64()), pa.array(used + k * buckets, pa.int64()), pa.array(np.diff(edges)[used], pa.int64()), pa.array(data, pa.binary())], names=["block", "bucket", "n", "data"])
 
     return run
 
@@ -255,7 +255,7 @@ def _score(widths: list[int], buckets: int, tokens: int, words: int, masses: tup
         got: list[list[np.ndarray]] = [[] for _ in widths]
         for bucket, n, data in zip(answers.column("bucket").to_pylist(), answers.column("n").to_pylist(), answers.column("data"), strict=True):
             got[bucket // buckets].append(_counts(data.as_buffer().to_pybytes(), n))
-        seen = [np.concatenate(x)[index] for x, (_, index) in zip(got, found, strict=True)]
+        seen = [np.concatenate(x)[np.unique(h, return_inverse=True)[1]] for x, h in zip(got, found, strict=True)]
         place = np.arange(len(line)) - np.repeat(starts, np.diff(np.append(starts, len(line))))
         for k, x in enumerate(seen):
             x[place < k] = 0  # no n-gram ends here
@@ -283,10 +283,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     size = blocks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
     buckets = max(8, -(-size // BUCKET_BYTES))
     widths = [64, *[min(64, size.bit_length() + SPARE)] * len(masses)]  # there are fewer n-grams of a length than bytes
-    sent = blocks.select("block", "ids", "texts").mapInArrow(_send(widths, buckets), "block long, bucket long, n long, data binary")
-    answers = common.save(sent.groupBy("bucket").applyInArrow(_answer(buckets), "block long, bucket long, n long, data binary, words long, tokens long"), "lm-answers")
-    del sent
-    common.release(docs.sparkSession)
+    answers = None
+    for k in range(len(widths), 0, -1):  # one length after the other, so that only one's messages are on disk
+        sent = blocks.select("block", "ids", "texts").mapInArrow(_send(widths[:k], buckets), "block long, bucket long, n long, data binary")
+        got = common.save(sent.groupBy("bucket").applyInArrow(_answer(buckets), "block long, bucket long, n long, data binary, words long, tokens long"), "lm-answers")
+        answers = got if answers is None else answers.unionByName(got)
+        del sent, got
+        common.release(docs.sparkSession)
     n = answers.where("block IS NULL").agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
     asked = answers.where("block IS NOT NULL").select("block", "bucket", "n", "data")
     scored = blocks.select("block", "ids", "texts").groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(
