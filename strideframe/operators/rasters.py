@@ -1,123 +1,10 @@
-"""Pixel and grid kernels on numpy arrays, one map or picture a task; summaries of decoded pictures as Columns."""
+"""Summaries of decoded pictures as Columns; kernels over maps are in tiles."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELLS = "map_id string, row int, col int"
-
-
-def _grid(pdf: pd.DataFrame, margin: int = 1) -> tuple[np.ndarray, int, int]:
-    r0, c0 = int(pdf["row"].min()) - margin, int(pdf["col"].min()) - margin
-    mask = np.zeros((int(pdf["row"].max()) - r0 + 1 + margin, int(pdf["col"].max()) - c0 + 1 + margin), bool)
-    mask[pdf["row"] - r0, pdf["col"] - c0] = True
-    return mask, r0, c0
-
-
-def _cells(name: str, mask: np.ndarray, r0: int, c0: int, **values: np.ndarray) -> pd.DataFrame:
-    r, c = np.nonzero(mask)
-    return pd.DataFrame({"map_id": name, "row": (r + r0).astype(np.int32), "col": (c + c0).astype(np.int32), **{k: v[r, c] for k, v in values.items()}})
-
-
-def edge_distance(mask: np.ndarray) -> np.ndarray:
-    """Euclidean distance of each true cell to the nearest false one, in cells; false cells have 0.
-
-    Distances down the columns first, then for each row the least over all columns of dx^2 + column distance^2.
-    """
-    rows, cols = mask.shape
-    far = rows + cols
-    down = np.zeros(mask.shape)
-    run = np.full(cols, far)
-    for r in range(rows):
-        run = np.where(mask[r], run + 1, 0)
-        down[r] = run
-    run = np.full(cols, far)
-    for r in range(rows - 1, -1, -1):
-        run = np.where(mask[r], run + 1, 0)
-        down[r] = np.minimum(down[r], run)
-    apart = np.subtract.outer(np.arange(cols), np.arange(cols)) ** 2
-    return np.sqrt(np.stack([(apart + down[r] ** 2).min(axis=1) for r in range(rows)]))
-
-
-def thinned(mask: np.ndarray) -> np.ndarray:
-    """Two-pass thinning after Zhang and Suen (1984): border cells go while the lines stay connected."""
-    img = np.pad(mask, 1).astype(np.int8)
-    ring = [(-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1), (0, -1), (-1, -1)]
-    while True:
-        gone = 0
-        for odd in (False, True):
-            around = np.stack([np.roll(img, (-dr, -dc), (0, 1)) for dr, dc in ring])
-            filled = around.sum(axis=0)
-            rises = ((around == 0) & (np.roll(around, -1, axis=0) == 1)).sum(axis=0)
-            north, east, south, west = around[0], around[2], around[4], around[6]
-            open_ = (north * east * west == 0) & (north * south * west == 0) if odd else (north * east * south == 0) & (east * south * west == 0)
-            drop = (img == 1) & (filled >= 2) & (filled <= 6) & (rises == 1) & open_
-            img[drop] = 0
-            gone += int(drop.sum())
-        if not gone:
-            return img[1:-1, 1:-1].astype(bool)
-
-
-def clearance(cells: DataFrame) -> DataFrame:
-    """CELLS -> map_id, row, col, dist: distance to the nearest cell outside, in cells. A map is one task."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask, r0, c0 = _grid(pdf)
-        return _cells(pdf["map_id"].iloc[0], mask, r0, c0, dist=edge_distance(mask))
-
-    return cells.select("map_id", "row", "col").groupBy("map_id").applyInPandas(run, CELLS + ", dist double")
-
-
-def skeleton(cells: DataFrame) -> DataFrame:
-    """CELLS -> the cells of the thinned map with the number of skeleton neighbours (1 an end, 3 and more a junction)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        mask, r0, c0 = _grid(pdf)
-        thin = thinned(mask)
-        pad = np.pad(thin, 1).astype(np.int32)
-        near = sum(np.roll(pad, (i, j), (0, 1)) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j)[1:-1, 1:-1]
-        return _cells(pdf["map_id"].iloc[0], thin, r0, c0, degree=near.astype(np.int32))
-
-    return cells.select("map_id", "row", "col").groupBy("map_id").applyInPandas(run, CELLS + ", degree int")
-
-
-def skeleton_edges(skeleton_cells: DataFrame) -> DataFrame:
-    """Links between neighbouring skeleton cells: map_id, u, v (structs row, col), length 1 or sqrt 2."""
-    s = skeleton_cells.select("map_id", "row", "col")
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    out = s.withColumn("o", F.explode(steps)).select("map_id", F.struct("row", "col").alias("u"), (F.col("row") + F.col("o.i")).alias("row"), (F.col("col") + F.col("o.j")).alias("col"), F.when(F.col("o.i") * F.col("o.j") != 0, 2.0**0.5).otherwise(1.0).alias("length"))
-    return out.join(s, ["map_id", "row", "col"]).select("map_id", "u", F.struct("row", "col").alias("v"), "length")
-
-
-def obstacle_density(cells: DataFrame, obstacles: DataFrame, radius: int) -> DataFrame:
-    """Share of a disc of ``radius`` cells around each cell that obstacles take: map_id, row, col, density.
-
-    Obstacle counts are run-length sums: each row of the disc is one range of columns, so a cell reads 2 * radius + 1
-    prefix sums instead of the whole disc.
-    """
-    half = [int((radius * radius - d * d) ** 0.5) for d in range(-radius, radius + 1)]
-    area = sum(2 * h + 1 for h in half)
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
-            return pd.DataFrame({"map_id": [], "row": [], "col": [], "density": []}).astype({"map_id": str, "row": "int32", "col": "int32", "density": float})
-        rows, cols = right.get("at_row", pd.Series(dtype=int)), right.get("at_col", pd.Series(dtype=int))
-        both = pd.DataFrame({"row": pd.concat([left["row"], rows]), "col": pd.concat([left["col"], cols])})
-        blank, r0, c0 = _grid(both, radius + 1)
-        taken = np.zeros(blank.shape)
-        taken[rows.astype(int) - r0, cols.astype(int) - c0] = 1
-        sums = np.concatenate([np.zeros((taken.shape[0], 1)), np.cumsum(taken, axis=1)], axis=1)
-        r, c = left["row"].to_numpy() - r0, left["col"].to_numpy() - c0
-        n = sum(sums[r + d, c + h + 1] - sums[r + d, c - h] for d, h in zip(range(-radius, radius + 1), half, strict=True))
-        return pd.DataFrame({"map_id": key[0], "row": left["row"], "col": left["col"], "density": n / area})
-
-    # new names, so that obstacles taken from the cells themselves keep columns of their own
-    taken = obstacles.select(F.col("map_id").alias("at_map"), F.col("row").alias("at_row"), F.col("col").alias("at_col")).groupBy("at_map")
-    return cells.select("map_id", "row", "col").groupBy("map_id").cogroup(taken).applyInPandas(run, CELLS + ", density double")
-
 
 def picture_stats(pictures: DataFrame, key: list[str], luma: str = "luma") -> DataFrame:
     """Decoded pictures (array of 0..255 values) -> mean, p10, p50, p99, blown (>= 250) and black (<= 5) shares.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.operators import graph, rasters, rollups, sequence, spatial
+from strideframe.operators import graph, rasters, roads, rollups, sequence, spatial, tiles
 from strideframe.plans.queries import query
 from strideframe.session import ensure_checkpoints, table
 
@@ -126,13 +126,13 @@ def bounding_boxes(spark, d):
 
 
 #: a road graph per map: roads of a part between neighbouring junctions
-_ROADS = "g AS (SELECT p_partkey % 4 AS k, p_partkey AS edge, p_partkey % 4 + 4 * (p_partkey // 8 % 40) AS u, p_partkey % 4 + 4 * ((p_partkey // 8 + 1 + p_size % 3) % 40) + CASE WHEN p_partkey % 10 = 0 THEN 1000 ELSE 0 END AS v, p_retailprice AS weight FROM part WHERE p_partkey % 8 < 4)"
+_ROADS = "g AS (SELECT p_partkey % 4 AS k, p_partkey AS edge, p_partkey % 4 + 4 * (p_partkey // 8 % 40) AS u, p_partkey % 4 + 4 * ((p_partkey // 8 + 1 + p_size % 3) % 40) + CASE WHEN p_partkey % 10 = 0 THEN 1000 ELSE 0 END AS v, p_retailprice AS weight FROM part)"
 
 
 def _roads(spark, d):
     c = F.col
     block = F.floor(c("p_partkey") / 8)
-    return table(spark, d, "part").where("p_partkey % 8 < 4").select((c("p_partkey") % 4).alias("k"), c("p_partkey").alias("edge"), (c("p_partkey") % 4 + 4 * (block % 40)).alias("u"), (c("p_partkey") % 4 + 4 * ((block + 1 + c("p_size") % 3) % 40) + F.when(c("p_partkey") % 10 == 0, 1000).otherwise(0)).alias("v"), c("p_retailprice").alias("weight"))
+    return table(spark, d, "part").select((c("p_partkey") % 4).alias("k"), c("p_partkey").alias("edge"), (c("p_partkey") % 4 + 4 * (block % 40)).alias("u"), (c("p_partkey") % 4 + 4 * ((block + 1 + c("p_size") % 3) % 40) + F.when(c("p_partkey") % 10 == 0, 1000).otherwise(0)).alias("v"), c("p_retailprice").alias("weight"))
 
 
 @query(f"""WITH RECURSIVE {_ROADS}, b AS (SELECT k, u, v FROM g UNION SELECT k, v, u FROM g), r(k, id, near) AS (SELECT DISTINCT k, u, u FROM b UNION SELECT r.k, r.id, b.v FROM r JOIN b ON b.k = r.k AND b.u = r.near), n AS (SELECT k, id, min(near) AS part FROM r GROUP BY 1, 2),
@@ -142,7 +142,7 @@ def largest_component(spark, d):
     return graph.largest_component(_roads(spark, d), "k").select("k", "edge")
 
 
-@query(f"""WITH RECURSIVE {_ROADS}, b AS (SELECT u, v, min(weight) AS w FROM (SELECT u, v, weight FROM g UNION ALL SELECT v, u, weight FROM g) GROUP BY 1, 2), r(node, dist, hops) AS (SELECT 0::BIGINT, 0::DOUBLE, 0 UNION ALL SELECT node, min(dist), min(hops) FROM (SELECT b.v AS node, r.dist + b.w AS dist, r.hops + 1 AS hops FROM r JOIN b ON b.u = r.node WHERE r.hops < 24) GROUP BY 1)
+@query(f"""WITH RECURSIVE {_ROADS}, b AS (SELECT u, v, min(weight) AS w FROM (SELECT u, v, weight FROM g UNION ALL SELECT v, u, weight FROM g) GROUP BY 1, 2), r(node, dist, hops) AS (SELECT 0::BIGINT, 0::DOUBLE, 0 UNION ALL SELECT node, min(dist), min(hops) FROM (SELECT b.v AS node, r.dist + b.w AS dist, r.hops + 1 AS hops FROM r JOIN b ON b.u = r.node WHERE r.hops < 60) GROUP BY 1)
 SELECT node, round(min(dist), 4) AS dist FROM r GROUP BY 1""")
 def hop_distances(spark, d):
     ensure_checkpoints(spark)
@@ -197,21 +197,82 @@ def _cells(spark, d):
 @query(f"""WITH {_CELLS}, o AS (SELECT m, a AS r, b AS q FROM (SELECT DISTINCT m FROM c), (SELECT unnest(range(-1, 41)) AS a), (SELECT unnest(range(-1, 41)) AS b) EXCEPT SELECT m, r, q FROM c)
 SELECT c.m::VARCHAR AS map_id, c.r::INT AS row, c.q::INT AS col, round(sqrt(min(pow(c.r - o.r, 2) + pow(c.q - o.q, 2))), 6) AS dist FROM c JOIN o USING (m) GROUP BY 1, 2, 3""")
 def clearance(spark, d):
-    return rasters.clearance(_cells(spark, d)).withColumn("dist", F.round("dist", 6))
+    return tiles.clearance(_cells(spark, d)).withColumn("dist", F.round("dist", 6))
 
 
 @query(f"WITH {_CELLS} SELECT a.m::VARCHAR AS map_id, a.r::INT AS row, a.q::INT AS col, round(count(b.r) / 29.0, 6) AS density FROM c a LEFT JOIN c b ON b.m = a.m AND (b.r + b.q) % 3 = 0 AND pow(a.r - b.r, 2) + pow(a.q - b.q, 2) <= 9 GROUP BY 1, 2, 3")
 def obstacle_density(spark, d):
     c = _cells(spark, d)
-    return rasters.obstacle_density(c, c.where((F.col("row") + F.col("col")) % 3 == 0), 3).withColumn("density", F.round("density", 6))
+    return tiles.density(c, c.where((F.col("row") + F.col("col")) % 3 == 0), 3).withColumn("density", F.round("density", 6))
 
 
 @query()
 def skeletons(spark, d):
-    """Thinned cells with their degree, and the links between them; thinning is iterative."""
-    s = rasters.skeleton(_cells(spark, d))
-    e = rasters.skeleton_edges(s).groupBy("map_id", F.col("u.row").alias("row"), F.col("u.col").alias("col")).agg(F.count(F.lit(1)).alias("links"))
-    return s.join(e, ["map_id", "row", "col"], "left").withColumn("links", F.coalesce("links", F.lit(0)))
+    """Centre lines of the maps with the degree of each cell; thinning is iterative."""
+    ensure_checkpoints(spark)
+    return roads.degrees(tiles.thinned(_cells(spark, d), tile=16))
+
+
+_DISC = "b AS (SELECT a, e FROM (SELECT unnest(range(-2, 3)) AS a), (SELECT unnest(range(-2, 3)) AS e) WHERE a * a + e * e <= 4)"
+
+
+@query(f"""WITH {_CELLS}, {_DISC}, g AS (SELECT DISTINCT m, r + a AS r, q + e AS q FROM c, b)
+SELECT p.m::VARCHAR AS map_id, p.r::INT AS row, p.q::INT AS col FROM g p, b JOIN g ON g.m = p.m AND g.r = p.r + b.a AND g.q = p.q + b.e GROUP BY 1, 2, 3 HAVING count(*) = (SELECT count(*) FROM b)""")
+def closed_cells(spark, d):
+    """Walkable cells closed by a disc; small tiles, so that the halo is at work."""
+    return tiles.closed(_cells(spark, d), 2, tile=16)
+
+
+_HOLES = """o AS (SELECT m, a AS r, b AS q FROM (SELECT DISTINCT m FROM c), (SELECT unnest(range(-1, 41)) AS a), (SELECT unnest(range(-1, 41)) AS b) EXCEPT SELECT m, r, q FROM c),
+f(m, r, q) AS (SELECT m, r, q FROM o WHERE r = -1 AND q = -1 UNION SELECT o.m, o.r, o.q FROM f JOIN o ON o.m = f.m AND abs(o.r - f.r) + abs(o.q - f.q) = 1)"""
+
+
+@query(f"WITH RECURSIVE {_CELLS}, {_HOLES} SELECT m::VARCHAR AS map_id, r::INT AS row, q::INT AS col FROM (SELECT * FROM o EXCEPT SELECT * FROM f)")
+def hole_cells(spark, d):
+    ensure_checkpoints(spark)
+    return tiles.holes(_cells(spark, d), tile=16)
+
+
+@query(f"""WITH RECURSIVE {_CELLS}, l(m, r, q, fr, fq) AS (SELECT m, r, q, r, q FROM c UNION SELECT l.m, l.r, l.q, c.r, c.q FROM l JOIN c ON c.m = l.m AND abs(c.r - l.fr) + abs(c.q - l.fq) = 1)
+SELECT m::VARCHAR AS map_id, r::INT AS row, q::INT AS col, min((fr + 536870912) * 4294967296 + fq + 2147483648)::BIGINT AS component FROM l GROUP BY 1, 2, 3""")
+def cell_components(spark, d):
+    ensure_checkpoints(spark)
+    return tiles.labelled(_cells(spark, d), tile=16)
+
+
+@query(f"""WITH {_CELLS}, y AS (SELECT DISTINCT i, round_even(5 + t * sin(2 * pi() * i / 16), 0)::INT - 5 AS a, round_even(5 + t * cos(2 * pi() * i / 16), 0)::INT - 5 AS e FROM (SELECT unnest(range(16)) AS i), (SELECT unnest(range(1, 6)) AS t)),
+h AS (SELECT DISTINCT c.m, c.r, c.q, y.i FROM c, y JOIN c w ON w.m = c.m AND w.r = c.r + y.a AND w.q = c.q + y.e AND (w.r + w.q) % 3 = 0), p AS (SELECT m, r, q, count(*) AS n FROM h JOIN h g USING (m, r, q) WHERE g.i = h.i + 8 GROUP BY 1, 2, 3)
+SELECT c.m::VARCHAR AS map_id, c.r::INT AS row, c.q::INT AS col, coalesce(n, 0)::INT AS pairs FROM c LEFT JOIN p USING (m, r, q)""")
+def enclosed_cells(spark, d):
+    """Pairs of opposite rays that meet an obstacle: inside a street, not beside a wall."""
+    c = _cells(spark, d)
+    return tiles.opposing_pairs(c, c.where((F.col("row") + F.col("col")) % 3 == 0), 5, tile=16)
+
+
+@query(f"""WITH RECURSIVE {_CELLS}, n AS (SELECT a.m, a.r, a.q, b.r AS s, b.q AS t FROM c a JOIN c b ON b.m = a.m AND abs(b.r - a.r) <= 1 AND abs(b.q - a.q) <= 1 AND (b.r <> a.r OR b.q <> a.q)),
+g AS (SELECT c.m, c.r, c.q, count(n.s) AS deg FROM c LEFT JOIN n ON n.m = c.m AND n.r = c.r AND n.q = c.q GROUP BY 1, 2, 3),
+w AS (SELECT m, 0 AS len, r AS fr, q AS fq, s AS sr, t AS sq, r AS pr, q AS pq, s AS r, t AS q, CASE WHEN r <> s AND q <> t THEN 1 ELSE 0 END AS dia, 1 AS k FROM n JOIN g USING (m, r, q) WHERE deg <> 2
+UNION ALL SELECT w.m, 0, w.fr, w.fq, w.sr, w.sq, w.r, w.q, n.s, n.t, w.dia + CASE WHEN n.r <> n.s AND n.q <> n.t THEN 1 ELSE 0 END, w.k + 1 FROM w JOIN g ON g.m = w.m AND g.r = w.r AND g.q = w.q AND g.deg = 2 JOIN n ON n.m = w.m AND n.r = w.r AND n.q = w.q AND (n.s <> w.pr OR n.t <> w.pq))
+SELECT w.m::VARCHAR AS map_id, fr::INT AS u_row, fq::INT AS u_col, w.r::INT AS v_row, w.q::INT AS v_col, round(k - dia + dia * sqrt(2), 6) AS length, (k + 1)::INT AS cells FROM w JOIN g ON g.m = w.m AND g.r = w.r AND g.q = w.q AND g.deg <> 2 WHERE (fr, fq, sr, sq) <= (w.r, w.q, pr, pq)""")
+def road_edges(spark, d):
+    ensure_checkpoints(spark)
+    e = roads.road_edges(_cells(spark, d))
+    return e.select("map_id", F.col("u.row").alias("u_row"), F.col("u.col").alias("u_col"), F.col("v.row").alias("v_row"), F.col("v.col").alias("v_col"), F.round("length", 6).alias("length"), F.size("cells").alias("cells"))
+
+
+@query(f"""WITH RECURSIVE {_ROADS}, b AS (SELECT DISTINCT k, edge, u, v, round(weight * 100)::BIGINT AS w FROM (SELECT k, edge, u, v, weight FROM g UNION ALL SELECT k, edge, v, u, weight FROM g)),
+t AS (SELECT DISTINCT k, u AS node FROM b WHERE edge % 97 = 0), s AS (SELECT DISTINCT k, u AS start FROM b WHERE u % 3 = 0),
+r(k, node, dist, goal, hops) AS (SELECT k, node, 0::BIGINT, node, 0 FROM t UNION ALL SELECT k, node, min(dist), arg_min(goal, (dist, goal)), min(hops) FROM (SELECT b.k, b.u AS node, r.dist + b.w AS dist, r.goal, r.hops + 1 AS hops FROM r JOIN b ON b.k = r.k AND b.v = r.node WHERE r.hops < 60) GROUP BY 1, 2),
+f AS (SELECT k, node, min(dist) AS dist, arg_min(goal, (dist, goal)) AS goal FROM r GROUP BY 1, 2),
+o AS (SELECT b.k, b.u, arg_min((b.v, b.edge, b.w), (f.dist + b.w, f.goal, b.edge, b.v, b.w)) AS x FROM b JOIN f ON f.k = b.k AND f.node = b.v JOIN f h ON h.k = b.k AND h.node = b.u AND h.dist > 0 GROUP BY 1, 2),
+p(k, start, step, u, v, edge, weight) AS (SELECT s.k, start, 1, o.u, o.x[1], o.x[2], o.x[3] FROM s JOIN o ON o.k = s.k AND o.u = s.start UNION ALL SELECT p.k, p.start, p.step + 1, o.u, o.x[1], o.x[2], o.x[3] FROM p JOIN o ON o.k = p.k AND o.u = p.v)
+SELECT * FROM p""")
+def ways_to_nearest(spark, d):
+    """The way from each start to the nearest junction with an unwalked road."""
+    ensure_checkpoints(spark)
+    e = _roads(spark, d).withColumn("weight", F.round(F.col("weight") * 100).cast("long"))
+    ends = e.select("k", "edge", F.explode(F.array("u", "v")).alias("node"))
+    return roads.ways_to_nearest(e, "k", ends.where("node % 3 = 0").select("k", F.col("node").alias("start")), ends.where("edge % 97 = 0"))
 
 
 _PX = "x AS (SELECT vec_id, unnest(list_transform(embedding, lambda e: least(greatest(floor(e::DOUBLE * 400 + 128), 0), 255)::INT)) AS v FROM embeddings)"
