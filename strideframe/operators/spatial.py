@@ -39,47 +39,118 @@ def first_triangle(points: DataFrame, triangles: DataFrame, key: str, cell: floa
     return points.join(hits, [key, "point"], "left")
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, radius: float, widen: float = 4.0) -> DataFrame:
+FEW = 16  # targets a leaf cell may hold
+FAN = 4  # a cell has FAN x FAN cells below it
+BROADCAST_CELLS = 1 << 14  # of one level
+
+
+def _pyramid(targets: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Counted cells of all levels, and targets with their leaf. targets: key, target, x, y at distinct places.
+
+    Level 0 is one square over all targets; cells of more than FEW targets are divided by FAN, so a dense spot is a deep branch. cells: key, level, cx, cy, n.
+    """
+    edge = targets.agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1")).first()
+    if edge["x0"] is None:
+        return None, None, 0.0, 0.0, 0.0
+    side = max(edge["x1"] - edge["x0"], edge["y1"] - edge["y0"], 1e-9) * (1 + 1e-9)
+    left, cells, leaves, level = targets, None, None, 0
+    while True:
+        at = lambda c, e: F.floor((F.col(c) - e) / (side / FAN**level)).cast("long")  # noqa: E731, B023
+        placed = left.withColumns({"level": F.lit(level), "cx": at("x", edge["x0"]), "cy": at("y", edge["y0"])})
+        counts = placed.groupBy(key, "level", "cx", "cy").agg(F.count(F.lit(1)).alias("n")).withColumn("leaf", (F.col("n") <= FEW) | F.lit(level >= 24)).checkpoint()
+        told = placed.join(counts.select(key, "cx", "cy", "leaf"), [key, "cx", "cy"]).select(key, "target", "x", "y", "level", "cx", "cy", "leaf").checkpoint()
+        cells = counts if cells is None else cells.unionByName(counts)
+        leaves = told.where("leaf") if leaves is None else leaves.unionByName(told.where("leaf"))
+        left = told.where("NOT leaf").select(key, "target", "x", "y")
+        if not left.limit(1).count():
+            return cells, leaves, edge["x0"], edge["y0"], side
+        level += 1
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distance from every left point to the nearest right point of its key: left columns, ``near`` (its id) and ``dist``.
 
-    left: key, point, x, y; right: key, target, x, y. Points are looked up within ``radius``; those that found
-    nothing are looked up again in cells ``widen`` times as wide, until all are done; of equals the smallest target
-    counts. A key without targets gives null.
+    left: key, point, x, y; right: key, target, x, y. Of equals the smallest target counts; a key without targets gives null. Counted cells of
+    all levels bound the distance: a point goes down from the largest cell, and of the cells it meets keeps those whose
+    nearest corner is no farther than the farthest corner of the best one, so few a level however far or dense the targets are; at the
+    leaves it meets FEW targets each.
     """
-    todo = left.join(right.select(key).distinct(), key, "left_semi").select(key, "point", "x", "y").distinct()
-    found = None
-    targets = right.select(key, "target", F.col("x").alias("tx"), F.col("y").alias("ty"))
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    c = F.col
+    one = right.groupBy(key, "x", "y").agg(F.min("target").alias("target"))  # the smallest of those at one place
+    cells, leaves, x0, y0, side = _pyramid(one.select(key, "target", "x", "y"), key)
+    if cells is None:
+        kind = right.schema["target"].dataType
+        return left.withColumns({"near": F.lit(None).cast(kind), "dist": F.lit(None).cast("double")})
+    points = left.select(key, "point", "x", "y").distinct()
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(FAN) for j in range(FAN)])
+    root = F.lit(0).cast("long")
+    at, level, ends = points.withColumns({"cx": root, "cy": root}), 0, None
+    slack = 1e-9 * side
     while True:
-        cell = lambda c: F.floor(F.col(c) / radius)
-        a = todo.select("*", cell("x").alias("gx"), cell("y").alias("gy"), F.explode(around).alias("o")).select(key, "point", "x", "y", (F.col("gx") + F.col("o.i")).alias("gx"), (F.col("gy") + F.col("o.j")).alias("gy"))
-        b = targets.select("*", cell("tx").alias("gx"), cell("ty").alias("gy"))
-        d = F.hypot(F.col("x") - F.col("tx"), F.col("y") - F.col("ty"))
-        hits = a.join(b, [key, "gx", "gy"]).withColumn("dist", d).where(F.col("dist") <= radius)
-        hits = hits.groupBy(key, "point").agg(F.min(F.struct("dist", "target")).alias("n")).select(key, "point", F.col("n.target").alias("near"), F.col("n.dist").alias("dist")).checkpoint()
-        found = hits if found is None else found.union(hits)
-        todo = todo.join(hits, [key, "point"], "left_anti").checkpoint()
-        if not todo.limit(1).count():
+        size = side / FAN**level
+        known = cells.where(c("level") == level).select(key, "cx", "cy", "leaf")
+        if known.count() <= BROADCAST_CELLS:  # upper levels hold few cells, and many points each
+            known = F.broadcast(known)
+        dx, dy = (c("x") - x0) - c("cx") * size, (c("y") - y0) - c("cy") * size  # place within the cell
+        short = lambda d: F.greatest(-d, d - size, F.lit(0.0))  # noqa: E731, B023
+        long = lambda d: F.greatest(F.abs(d), F.abs(d - size))  # noqa: E731, B023
+        met = at.join(known, [key, "cx", "cy"]).select(key, "point", "x", "y", F.lit(level).alias("level"), "cx", "cy", "leaf", F.hypot(short(dx), short(dy)).alias("lo"), F.hypot(long(dx), long(dy)).alias("hi"))
+        met = met if ends is None else met.unionByName(ends)  # leaves met before bound what is still open
+        best = F.min("hi").over(W.partitionBy(key, "point", "x", "y"))
+        kept = met.withColumn("best", best).where(c("lo") <= c("best") + slack).drop("best").checkpoint()
+        ends, more = kept.where("leaf"), kept.where("NOT leaf")
+        if not more.limit(1).count():
             break
-        radius *= widen
-    return left.join(found, [key, "point"], "left")
+        level += 1
+        at = more.withColumn("o", F.explode(steps)).select(key, "point", "x", "y", (c("cx") * FAN + c("o.i")).alias("cx"), (c("cy") * FAN + c("o.j")).alias("cy"))
+    inside = leaves.select(key, "level", "cx", "cy", "target", c("x").alias("tx"), c("y").alias("ty"))
+    d = F.hypot(c("x") - c("tx"), c("y") - c("ty"))
+    hits = ends.join(inside, [key, "level", "cx", "cy"]).withColumn("dist", d).groupBy(key, "point", "x", "y").agg(F.min(F.struct("dist", "target")).alias("n"))
+    return left.join(hits.select(key, "point", "x", "y", F.col("n.target").alias("near"), F.col("n.dist").alias("dist")), [key, "point", "x", "y"], "left")
 
 
-def farthest_of_nearest(samples: DataFrame, frames: DataFrame, key: str, group: str, radius: float, most: float = 160.0) -> DataFrame:
+def farthest_of_nearest(samples: DataFrame, frames: DataFrame, key: str, group: str, most: float = 160.0) -> DataFrame:
     """key, group, worst distance from a road's samples to their nearest frame, and whether all lie within ``most``."""
-    near = nearest(samples, frames, key, radius)
+    near = nearest(samples, frames, key)
     return near.groupBy(key, group).agg(F.max("dist").alias("worst"), F.bool_and(F.coalesce(F.col("dist") <= most, F.lit(False))).alias("walked"))
 
 
-def mutual_nearest(left: DataFrame, right: DataFrame, pair: str, most: int = 40) -> DataFrame:
+def mutual_nearest(left: DataFrame, right: DataFrame, pair: str, most: int = 40, bits: int = 256) -> DataFrame:
     """Descriptor matches that are each other's nearest by Hamming distance, under ``most`` bits: pair, l, r, bits.
 
-    left and right: pair, i, code (long). Ties go to the smaller i. One pair of pictures has a bounded number of descriptors.
+    left and right: pair, i, code (array of longs, ``bits`` in all). Ties go to the smaller i. Multi-index hashing: of m > (most - 1) / 2 bands, two
+    codes under ``most`` bits apart differ by one bit at most in some band, so each left code looks up each of its bands as it is and with one bit turned,
+    and only pairs that meet are compared in full. No pair of codes that meets nowhere can be a match, so the result is exact. Equal
+    codes of a picture are one entry, of the smallest i.
     """
-    a, b = left.select(pair, F.col("i").alias("l"), F.col("code").alias("lc")), right.select(pair, F.col("i").alias("r"), F.col("code").alias("rc"))
-    d = a.join(b, pair).withColumn("bits", F.bit_count(F.col("lc").bitwiseXOR(F.col("rc")))).where(F.col("bits") < most)
-    one = lambda side, other: F.row_number().over(W.partitionBy(pair, side).orderBy("bits", other))
-    return d.withColumns({"_l": one("l", "r"), "_r": one("r", "l")}).where("_l = 1 AND _r = 1").select(pair, "l", "r", "bits")
+    c = F.col
+    m = max((most + 1) // 2, bits // 32)
+    cuts = [bits * k // m for k in range(m + 1)]
+
+    def distinct(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(pair, c("code").alias(f"{name}c")).agg(F.min("i").alias(name))
+
+    def band(code: str, k: int):
+        """Bits cuts[k] .. cuts[k+1]-1 of an array of 64-bit words as one number."""
+        lo, hi = cuts[k], cuts[k + 1]
+        word, at = divmod(lo, 64)
+        low = F.shiftrightunsigned(F.get(code, F.lit(word)), at)
+        if hi > (word + 1) * 64:
+            low = low.bitwiseOR(F.shiftleft(F.get(code, F.lit(word + 1)), 64 - at))
+        return low.bitwiseAND(F.lit((1 << (hi - lo)) - 1))
+
+    def banded(df: DataFrame, code: str, turned: bool) -> DataFrame:
+        def probes(k: int):
+            flips = [0, *(1 << b for b in range(cuts[k + 1] - cuts[k]))] if turned else [0]
+            return F.transform(F.array(*[F.lit(f).cast("long") for f in flips]), lambda f: F.struct(F.lit(k).alias("band"), band(code, k).bitwiseXOR(f).alias("value")))
+
+        return df.withColumn("at", F.explode(F.concat(*[probes(k) for k in range(m)]))).select("*", "at.band", "at.value").drop("at")
+
+    a, b = distinct(left, "l"), distinct(right, "r")
+    apart = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, n: s + n)
+    met = banded(a, "lc", True).join(banded(b, "rc", False), [pair, "band", "value"]).select(pair, "l", "r", apart(c("lc"), c("rc")).alias("bits")).where(c("bits") < most).distinct()
+    near = lambda side, other: met.groupBy(pair, side).agg(F.min(F.struct("bits", other)).alias("n")).select(pair, side, F.col(f"n.{other}").alias(other), "n.bits")
+    return near("l", "r").join(near("r", "l"), [pair, "l", "r", "bits"]).select(pair, "l", "r", "bits")
 
 
 def height_lookup(points: DataFrame, cells: DataFrame, key: str, size: float) -> DataFrame:

@@ -42,7 +42,7 @@ def first_triangle(spark, d):
 def nearest_boundary(spark, d):
     ensure_checkpoints(spark)
     right = _triangles(spark, d).select("k", F.col("triangle").alias("target"), F.col("ax").alias("x"), F.col("ay").alias("y"))
-    return spatial.nearest(_points(spark, d), right, "k", 20.0).select("point", "near", F.round("dist", 6).alias("dist"))
+    return spatial.nearest(_points(spark, d), right, "k").select("point", "near", F.round("dist", 6).alias("dist"))
 
 
 @query(f"WITH {_TRI}, n AS (SELECT q.point, q.k, q.point % 20 AS road, min(sqrt(pow(q.x - t.ax, 2) + pow(q.y - t.ay, 2))) AS dist FROM q LEFT JOIN t ON t.k = q.k GROUP BY 1, 2, 3) SELECT k, road, round(max(dist), 6) AS worst, bool_and(coalesce(dist <= 160, false)) AS walked FROM n GROUP BY 1, 2")
@@ -50,16 +50,23 @@ def roads_walked(spark, d):
     ensure_checkpoints(spark)
     right = _triangles(spark, d).select("k", F.col("triangle").alias("target"), F.col("ax").alias("x"), F.col("ay").alias("y"))
     left = _points(spark, d).withColumn("road", F.col("point") % 20)
-    return spatial.farthest_of_nearest(left, right, "k", "road", 20.0).withColumn("worst", F.round("worst", 6))
+    return spatial.farthest_of_nearest(left, right, "k", "road").withColumn("worst", F.round("worst", 6))
 
 
-@query("""WITH l AS (SELECT s_suppkey % 10 AS pair, s_suppkey AS l, (s_suppkey * 2654435761) % 4294967296 AS lc FROM supplier), r AS (SELECT p_partkey % 10 AS pair, p_partkey AS r, (p_partkey * 40503) % 4294967296 AS rc FROM part),
-m AS (SELECT pair, l, r, bit_count(xor(lc, rc))::INT AS bits FROM l JOIN r USING (pair)), k AS (SELECT *, row_number() OVER (PARTITION BY pair, l ORDER BY bits, r) AS a, row_number() OVER (PARTITION BY pair, r ORDER BY bits, l) AS b FROM m WHERE bits < 14) SELECT pair, l, r, bits FROM k WHERE a = 1 AND b = 1""")
+_SIGHT = "v AS (SELECT vec_id, vec_id % 10 AS pair, list_transform(embedding, lambda e: e::DOUBLE) AS a, list_transform(embedding, lambda e, i: e::DOUBLE + 0.02 * ((vec_id * 7 + i) % 5 - 2)) AS b FROM embeddings)"
+
+
+@query(f"""WITH {_SIGHT}, m AS (SELECT l.pair, l.vec_id AS l, r.vec_id AS r, list_sum(list_transform(list_zip(l.a, r.b), lambda x: ((x[1] > -0.1) <> (x[2] > -0.1))::INT + ((x[1] > 0) <> (x[2] > 0))::INT + ((x[1] > 0.1) <> (x[2] > 0.1))::INT + ((x[1] > 0.2) <> (x[2] > 0.2))::INT))::INT AS bits FROM v l JOIN v r USING (pair)),
+k AS (SELECT *, row_number() OVER (PARTITION BY pair, l ORDER BY bits, r) AS a, row_number() OVER (PARTITION BY pair, r ORDER BY bits, l) AS b FROM m WHERE bits < 40) SELECT pair, l, r, bits FROM k WHERE a = 1 AND b = 1""")
 def mutual_nearest(spark, d):
-    c = F.col
-    l = table(spark, d, "supplier").select((c("s_suppkey") % 10).alias("pair"), c("s_suppkey").alias("i"), (c("s_suppkey") * 2654435761 % 4294967296).alias("code"))
-    r = table(spark, d, "part").select((c("p_partkey") % 10).alias("pair"), c("p_partkey").alias("i"), (c("p_partkey") * 40503 % 4294967296).alias("code"))
-    return spatial.mutual_nearest(l, r, "pair", 14)
+    """Descriptors of 256 bits, four thresholds of each vector's entries, against those of slightly changed vectors."""
+    e = table(spark, d, "embeddings")
+    word = lambda v, t: F.aggregate(F.transform(v, lambda x, i: F.when(x > t, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x))
+    code = lambda v: F.array(*[word(v, t) for t in (-0.1, 0.0, 0.1, 0.2)])
+    same = F.transform("embedding", lambda x: x.cast("double"))
+    moved = F.transform("embedding", lambda x, i: x.cast("double") + 0.02 * ((F.col("vec_id") * 7 + i + 1) % 5 - 2))
+    side = lambda v: e.select((F.col("vec_id") % 10).alias("pair"), F.col("vec_id").alias("i"), code(v).alias("code"))
+    return spatial.mutual_nearest(side(same), side(moved), "pair")
 
 
 @query(f"""WITH {_TRI}, c AS (SELECT k, round_even(ax / 25, 0)::BIGINT AS cx, round_even(ay / 25, 0)::BIGINT AS cy, min(ax) AS z FROM t GROUP BY 1, 2, 3), p AS (SELECT *, round_even(x / 25, 0)::BIGINT AS gx, round_even(y / 25, 0)::BIGINT AS gy FROM q),
