@@ -172,20 +172,20 @@ def leg_timeline(legs: DataFrame, key: str) -> DataFrame:
     return rows.select(key, (F.col("start") + F.col("i")).alias("frame"), "leg", on("x"), on("y"))
 
 
-def coordinate_descent(options: dict[str, list[float]], start: dict[str, float], penalty: Callable[[DataFrame], DataFrame], spark, rounds: int = 20) -> tuple[dict[str, float], float]:
-    """Best value of one knob after the other until a round changes nothing: (settings, penalty).
+def coordinate_descent(df: DataFrame, options: dict[str, list[float]], start: dict[str, float], penalty: Callable[[dict[str, float]], Column]) -> tuple[dict[str, float], float, int]:
+    """Best value of one knob after the other until a round changes nothing: (settings, penalty, rounds).
 
-    penalty adds a ``penalty`` column to a DataFrame of candidate settings, so all candidates of a knob are evaluated at
-    once; the loop over knobs stays on the driver. Ties go to the option listed first.
+    penalty turns settings into an aggregate over df. All options of a knob are one aggregation, so df is read once a knob and round; only the loop over
+    knobs is the driver's. Of equal penalties the present value stays, else the option listed first counts, so every change lowers the penalty and the descent ends.
     """
-    now, least = dict(start), float("inf")
-    for _ in range(rounds):
+    now, least, rounds = dict(start), None, 0
+    while True:
+        rounds += 1
         before = dict(now)
         for knob, values in options.items():
-            rows = [(i, *[float(v if k == knob else now[k]) for k in now]) for i, v in enumerate(values)]
-            asked = spark.createDataFrame(rows, ["option", *now])
-            best = penalty(asked).orderBy("penalty", "option").first()
-            now[knob], least = values[best["option"]], best["penalty"]
+            asked = [now[knob], *(v for v in values if v != now[knob])]
+            got = df.agg(*[penalty({**now, knob: v}).alias(f"p{i}") for i, v in enumerate(asked)]).first()
+            best = min(range(len(asked)), key=lambda i: (got[i] is None, got[i], i))
+            now[knob], least = asked[best], got[best]
         if now == before:
-            break
-    return now, least
+            return now, least, rounds

@@ -13,12 +13,16 @@ def label_shares(df: DataFrame, key: str, label: str, labels: list[str]) -> Data
     return n.select(key, "_all", F.inline(F.array(*[F.struct(F.lit(x).alias(label), F.col(f"_{i}").alias("n")) for i, x in enumerate(labels)]))).select(key, label, "n", (F.col("n") / F.col("_all")).alias("share"))
 
 
+MAX_LABELS = 1000
+
+
 def missing_labels(df: DataFrame, key: str, label: str, keeps: Column) -> DataFrame:
     """(key, label) pairs without a row that ``keeps``; keys and labels are those seen in df."""
-    labels = df.select(label).where(F.col(label).isNotNull()).distinct()
     found = df.groupBy(key, label).agg(F.bool_or(F.coalesce(keeps, F.lit(False))).alias("kept"))
-    listed = labels.agg(F.collect_set(label).alias("_labels"))  # a vocabulary: one row
-    want = df.select(key).distinct().crossJoin(F.broadcast(listed)).select(key, F.explode("_labels").alias(label))
+    vocabulary = [r[0] for r in df.select(label).where(F.col(label).isNotNull()).distinct().limit(MAX_LABELS + 1).collect()]
+    if len(vocabulary) > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} labels, which is no closed list")
+    want = df.select(key).distinct().select(key, F.explode(F.array(*[F.lit(x) for x in vocabulary]) if vocabulary else F.array().cast(f"array<{df.schema[label].dataType.simpleString()}>")).alias(label))
     return want.join(found.where("kept").select(key, label), [key, label], "left_anti")
 
 
@@ -106,14 +110,27 @@ def five_numbers(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     return df.groupBy(*groups).agg(F.count(value).alias("n"), F.min(value).alias("low"), q(0.1, "p10"), q(0.5, "median"), q(0.9, "p90"), F.max(value).alias("high"))
 
 
-def percentile_table(df: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
-    """Exact linear percentiles per key from value counts: no task holds a group's distinct values.
+def ranked_counts(df: DataFrame, key: str, value: str) -> DataFrame:
+    """key, v, c, lo, hi, n: the distinct values of each key with their count and the ranks (from 0) they fill, of n rows.
 
-    Counts of (key, value) are ranked by a running sum; only the two neighbours of each rank are looked at.
+    Value counts are dealt by ranges of (key, value), so a key with many values lies in many tasks; running sums within a range start from the sums of the
+    ranges before it, one small row a range and key.
     """
-    h = df.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    w = W.partitionBy(key).orderBy("v")
-    h = h.withColumns({"hi": F.sum("c").over(w.rowsBetween(W.unboundedPreceding, 0)) - 1, "n": F.sum("c").over(W.partitionBy(key))}).withColumn("lo", F.col("hi") - F.col("c") + 1)
+    h = df.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("k"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    h = h.repartitionByRange("k", "v").withColumn("part", F.spark_partition_id()).checkpoint()
+    sums = h.groupBy("k", "part").agg(F.sum("c").alias("c"))
+    whole = W.partitionBy("k")
+    before = F.coalesce(F.sum("c").over(whole.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select(F.col("k").alias("_k"), F.col("part").alias("_part"), before.alias("start"), F.sum("c").over(whole).alias("n"))
+    within = F.sum("c").over(W.partitionBy("k", "part").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
+    out = h.withColumn("within", within).join(starts, F.col("k").eqNullSafe(F.col("_k")) & (F.col("part") == F.col("_part")))
+    hi = F.col("start") + F.col("within") - 1
+    return out.select(F.col("k").alias(key), "v", "c", (hi - F.col("c") + 1).alias("lo"), hi.alias("hi"), "n")
+
+
+def percentile_table(df: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """Exact linear percentiles per key from ranked value counts; only the two values at each rank's neighbours are looked at."""
+    h = ranked_counts(df, key, value)
     out = []
     for name, q in shares.items():
         at = q * (F.col("n") - 1)
@@ -125,11 +142,8 @@ def percentile_table(df: DataFrame, key: str, value: str, shares: dict[str, floa
 
 
 def upper_median(df: DataFrame, key: str, value: str) -> DataFrame:
-    """The element at floor(n / 2) of the sorted values, from value counts."""
-    h = df.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    w = W.partitionBy(key)
-    h = h.withColumns({"hi": F.sum("c").over(w.orderBy("v").rowsBetween(W.unboundedPreceding, 0)), "n": F.sum("c").over(w)})
-    return h.where(F.col("hi") > F.floor(F.col("n") / 2)).groupBy(key).agg(F.min("v").alias("upper_median"))
+    """The element at floor(n / 2) of the sorted values, from ranked value counts."""
+    return ranked_counts(df, key, value).where(F.col("hi") >= F.floor(F.col("n") / 2)).groupBy(key).agg(F.min("v").alias("upper_median"))
 
 
 def physics_consistency(frames: DataFrame, key: str, opposing_least: float = 0.5) -> DataFrame:

@@ -153,10 +153,26 @@ def mutual_nearest(left: DataFrame, right: DataFrame, pair: str, most: int = 40,
     return near("l", "r").join(near("r", "l"), [pair, "l", "r", "bits"]).select(pair, "l", "r", "bits")
 
 
-def height_lookup(points: DataFrame, cells: DataFrame, key: str, size: float) -> DataFrame:
-    """Height of a point's cell, else of the first neighbour in row order, else null: all point columns, z, z_from.
+def mesh_heights(points: DataFrame, triangles: DataFrame, key: str) -> DataFrame:
+    """Height of the surface at each point in the triangle with the smallest id that holds it: key, point, z; other points have no row.
 
-    points: key, x, y; cells: key, cx, cy, z. Cell numbers are rounded half to even.
+    points: key, point, x, y; triangles: key, triangle, ax, ay, az, bx, .., cz. Barycentric weights of the three corners.
+    """
+    c = F.col
+    hit = first_triangle(points, triangles.select(key, "triangle", *[f"{p}{a}" for p in "abc" for a in "xy"]), key).where("triangle IS NOT NULL").select(key, "point", c("x").alias("px"), c("y").alias("py"), "triangle")
+    t = hit.join(triangles.select(key, "triangle", *[f"{p}{a}" for p in "abc" for a in "xyz"]), [key, "triangle"])
+    area = (c("by") - c("cy")) * (c("ax") - c("cx")) + (c("cx") - c("bx")) * (c("ay") - c("cy"))
+    wa = ((c("by") - c("cy")) * (c("px") - c("cx")) + (c("cx") - c("bx")) * (c("py") - c("cy"))) / area
+    wb = ((c("cy") - c("ay")) * (c("px") - c("cx")) + (c("ax") - c("cx")) * (c("py") - c("cy"))) / area
+    flat = F.when(area == 0, c("az")).otherwise(wa * c("az") + wb * c("bz") + (1 - wa - wb) * c("cz"))
+    return t.select(key, "point", flat.alias("z"))
+
+
+def height_lookup(points: DataFrame, cells: DataFrame, key: str, size: float, triangles: DataFrame) -> DataFrame:
+    """Height of a point's cell, else of the first neighbour in row order, else of the mesh: all point columns, z, z_from.
+
+    points: key, point, x, y; cells: key, cx, cy, z; triangles as for mesh_heights(). Cell numbers are rounded half to even. Points off the
+    mesh have null in both. Only points without a cell are looked up in the mesh.
     """
     number = lambda c: F.bround(F.col(c) / size).cast("long")
     steps = [(0, 0), *[(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]]
@@ -165,7 +181,10 @@ def height_lookup(points: DataFrame, cells: DataFrame, key: str, size: float) ->
     looked = wide.withColumn("o", F.explode(around)).select("p", F.col("o.rank").alias("rank"), "k", (F.col("gx") + F.col("o.i")).alias("cx"), (F.col("gy") + F.col("o.j")).alias("cy"))
     known = cells.select(F.col(key).alias("k"), "cx", "cy", "z")
     best = looked.join(known, ["k", "cx", "cy"], "left").groupBy("p").agg(F.min(F.when(F.col("z").isNotNull(), F.struct("rank", "z"))).alias("b"))
-    return best.select("p.*", F.col("b.z").alias("z"), F.when(F.col("b.rank") == 0, "cell").when(F.col("b").isNotNull(), "neighbour").otherwise("mesh").alias("z_from"))
+    told = best.select("p.*", F.col("b.z").alias("_z"), F.when(F.col("b.rank") == 0, "cell").when(F.col("b").isNotNull(), "neighbour").alias("_from"))
+    mesh = mesh_heights(told.where("_from IS NULL").select(key, "point", "x", "y"), triangles, key).withColumnRenamed("z", "_mesh")
+    both = told.join(mesh, [key, "point"], "left")
+    return both.select(*points.columns, F.coalesce("_z", "_mesh").alias("z"), F.coalesce("_from", F.when(F.col("_mesh").isNotNull(), "mesh")).alias("z_from"))
 
 
 def one_per_cell(points: DataFrame, key: str, order: str, cell: float, band: float) -> DataFrame:

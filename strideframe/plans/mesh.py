@@ -71,11 +71,13 @@ def mutual_nearest(spark, d):
 
 @query(f"""WITH {_TRI}, c AS (SELECT k, round_even(ax / 25, 0)::BIGINT AS cx, round_even(ay / 25, 0)::BIGINT AS cy, min(ax) AS z FROM t GROUP BY 1, 2, 3), p AS (SELECT *, round_even(x / 25, 0)::BIGINT AS gx, round_even(y / 25, 0)::BIGINT AS gy FROM q),
 o AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS rank, unnest([0, -1, -1, -1, 0, 0, 0, 1, 1, 1]) AS i, unnest([0, -1, 0, 1, -1, 0, 1, -1, 0, 1]) AS j),
-h AS (SELECT p.point, arg_min(c.z, o.rank) AS z, min(o.rank) AS rank FROM p, o, c WHERE c.k = p.k AND c.cx = p.gx + o.i AND c.cy = p.gy + o.j GROUP BY 1) SELECT q.point, h.z, CASE WHEN rank = 0 THEN 'cell' WHEN rank IS NOT NULL THEN 'neighbour' ELSE 'mesh' END AS z_from FROM q LEFT JOIN h USING (point)""")
+h AS (SELECT p.point, arg_min(c.z, o.rank) AS z, min(o.rank) AS rank FROM p, o, c WHERE c.k = p.k AND c.cx = p.gx + o.i AND c.cy = p.gy + o.j GROUP BY 1) i AS (SELECT q.point, arg_min(t.ax + (q.x - t.ax) / t.s * (t.ay - t.ax) + (q.y - t.ay) / t.s * (t.s - t.ax), t.triangle) AS z FROM q JOIN t ON t.k = q.k AND q.x >= t.ax AND q.y >= t.ay AND (q.x - t.ax) + (q.y - t.ay) <= t.s GROUP BY 1)
+SELECT q.point, round(CASE WHEN rank IS NULL THEN i.z ELSE h.z END, 6) AS z, CASE WHEN rank = 0 THEN 'cell' WHEN rank IS NOT NULL THEN 'neighbour' WHEN i.z IS NOT NULL THEN 'mesh' END AS z_from FROM q LEFT JOIN h USING (point) LEFT JOIN i USING (point)""")
 def height_lookup(spark, d):
     cell = lambda c: F.bround(F.col(c) / 25).cast("long")
     cells = _triangles(spark, d).groupBy("k", cell("ax").alias("cx"), cell("ay").alias("cy")).agg(F.min("ax").alias("z"))
-    return spatial.height_lookup(_points(spark, d), cells, "k", 25.0).select("point", "z", "z_from")
+    mesh = _triangles(spark, d).withColumns({"az": F.col("ax"), "bz": F.col("ay"), "cz": F.col("s").cast("double")})
+    return spatial.height_lookup(_points(spark, d), cells, "k", 25.0, mesh).select("point", F.round("z", 6).alias("z"), "z_from")
 
 
 @query(f"WITH {_TRI} SELECT k, round_even(x / 50, 0)::BIGINT AS cx, round_even(y / 50, 0)::BIGINT AS cy, min(point) AS point, arg_min(floor((x + y) / 150)::BIGINT, point) AS band FROM q GROUP BY 1, 2, 3")
@@ -185,11 +187,15 @@ def longest_network(spark, d):
     return graph.longest_network(n, "k", 20)
 
 
-@query("SELECT l_suppkey AS k, round(min(pow(l_quantity - 10, 2) + pow(l_linenumber - 3, 2)), 6) AS penalty FROM lineitem GROUP BY 1")
+@query("""WITH g AS (SELECT a, b, c FROM (SELECT unnest([0, 10, 20, 30, 40, 50]) AS a), (SELECT unnest([0, 2, 4, 6, 8]) AS b), (SELECT unnest([0.00, 0.02, 0.05, 0.08]::DOUBLE[]) AS c)),
+p AS (SELECT a, b, c, sum(pow(l_quantity - a, 2)) + 10 * sum(pow(l_linenumber - b, 2)) + 1000 * sum(pow(l_discount - c, 2)) AS penalty FROM lineitem, g GROUP BY 1, 2, 3) SELECT a::DOUBLE AS a, b::DOUBLE AS b, c AS c, round(penalty, 2) AS penalty FROM p ORDER BY penalty LIMIT 1""")
 def least_penalty(spark, d):
-    """Penalty grid of a parameter descent, one row a map."""
-    p = F.pow(F.col("l_quantity") - 10, 2) + F.pow(F.col("l_linenumber") - 3, 2)
-    return table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(F.round(F.min(p), 6).alias("penalty"))
+    """A penalty that is a sum over knobs, so the descent ends at the least of the whole grid."""
+    c = F.col
+    off = lambda col, v: F.sum(F.pow(c(col).cast("double") - v, 2))
+    options = {"a": [0.0, 10.0, 20.0, 30.0, 40.0, 50.0], "b": [0.0, 2.0, 4.0, 6.0, 8.0], "c": [0.0, 0.02, 0.05, 0.08]}
+    now, least, _ = graph.coordinate_descent(table(spark, d, "lineitem"), options, {"a": 0.0, "b": 0.0, "c": 0.0}, lambda s: off("l_quantity", s["a"]) + 10 * off("l_linenumber", s["b"]) + 1000 * off("l_discount", s["c"]))
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in now.items()], F.round(F.lit(least), 2).alias("penalty"))
 
 
 #: a raster: cells a part covers in its map's 40 x 40 grid

@@ -58,10 +58,3 @@ def parse_states(rows: DataFrame, episode: str = "episode_id", number: str = "li
     """JSON lines -> states before the first torn line of each episode; n_torn counts it and what follows. Blank lines are no rows."""
     parsed = rows.where(F.trim(text) != "").withColumn("s", F.from_json(text, STATE))
     return keep_prefix(parsed, episode, number, valid_state()).select(episode, "s.*", F.col("n_refused").alias("n_torn"))
-
-
-def sha256_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Path below root and digest of every file, in path order."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    name = root.rstrip("/").split("/")[-1]
-    return files.select(F.substring_index("path", f"/{name}/", -1).alias("path"), F.sha2("content", 256).alias("sha256")).orderBy("path")

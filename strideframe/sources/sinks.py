@@ -33,10 +33,10 @@ def write_document(df: DataFrame, path: str) -> None:
     out = fs.create(beside, True)
     out.write(bytearray(json.dumps(json.loads(row[0]), indent=1, ensure_ascii=False).encode()))
     out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(beside, target):
-        raise OSError(f"could not rename to {path}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(beside), fs.makeQualified(target), overwrite)
 
 
 def write_by_verdict(files: DataFrame, path: str) -> None:
