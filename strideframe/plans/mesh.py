@@ -71,12 +71,13 @@ def mutual_nearest(spark, d):
 
 @query(f"""WITH {_TRI}, c AS (SELECT k, round_even(ax / 25, 0)::BIGINT AS cx, round_even(ay / 25, 0)::BIGINT AS cy, min(ax) AS z FROM t GROUP BY 1, 2, 3), p AS (SELECT *, round_even(x / 25, 0)::BIGINT AS gx, round_even(y / 25, 0)::BIGINT AS gy FROM q),
 o AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS rank, unnest([0, -1, -1, -1, 0, 0, 0, 1, 1, 1]) AS i, unnest([0, -1, 0, 1, -1, 0, 1, -1, 0, 1]) AS j),
-h AS (SELECT p.point, arg_min(c.z, o.rank) AS z, min(o.rank) AS rank FROM p, o, c WHERE c.k = p.k AND c.cx = p.gx + o.i AND c.cy = p.gy + o.j GROUP BY 1) i AS (SELECT q.point, arg_min(t.ax + (q.x - t.ax) / t.s * (t.ay - t.ax) + (q.y - t.ay) / t.s * (t.s - t.ax), t.triangle) AS z FROM q JOIN t ON t.k = q.k AND q.x >= t.ax AND q.y >= t.ay AND (q.x - t.ax) + (q.y - t.ay) <= t.s GROUP BY 1)
+h AS (SELECT p.point, arg_min(c.z, o.rank) AS z, min(o.rank) AS rank FROM p, o, c WHERE c.k = p.k AND c.cx = p.gx + o.i AND c.cy = p.gy + o.j GROUP BY 1),
+i AS (SELECT q.point, arg_min(t.ax + (q.x - t.ax) / t.s * (t.ay - t.ax) + (q.y - t.ay) / t.s * (t.s - t.ax), t.triangle) AS z FROM q JOIN t ON t.k = q.k AND q.x >= t.ax AND q.y >= t.ay AND (q.x - t.ax) + (q.y - t.ay) <= t.s GROUP BY 1)
 SELECT q.point, round(CASE WHEN rank IS NULL THEN i.z ELSE h.z END, 6) AS z, CASE WHEN rank = 0 THEN 'cell' WHEN rank IS NOT NULL THEN 'neighbour' WHEN i.z IS NOT NULL THEN 'mesh' END AS z_from FROM q LEFT JOIN h USING (point) LEFT JOIN i USING (point)""")
 def height_lookup(spark, d):
     cell = lambda c: F.bround(F.col(c) / 25).cast("long")
     cells = _triangles(spark, d).groupBy("k", cell("ax").alias("cx"), cell("ay").alias("cy")).agg(F.min("ax").alias("z"))
-    mesh = _triangles(spark, d).withColumns({"az": F.col("ax"), "bz": F.col("ay"), "cz": F.col("s").cast("double")})
+    mesh = _triangles(spark, d).withColumns({"az": F.col("ax"), "bz": F.col("ay"), "cz": F.col("cy") - F.col("ay")})
     return spatial.height_lookup(_points(spark, d), cells, "k", 25.0, mesh).select("point", F.round("z", 6).alias("z"), "z_from")
 
 

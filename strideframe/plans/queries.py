@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strideframe.functions import geometry as G
 from strideframe.operators import gates, relational, reports, rollups, scans, sequence, spatial, status
 from strideframe.session import ensure_checkpoints, table
-from strideframe.streaming import leases
+from strideframe.streaming import claims, leases
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -431,3 +431,14 @@ def failed_gates(spark, d):
     listed = gate_report(spark, d).groupBy("user_id").agg(F.collect_list(F.struct("gate", "result")).alias("gates"))
     failed = F.transform(F.filter("gates", lambda g: F.upper(g["result"]).like("FAIL%")), lambda g: g["gate"])
     return listed.select("user_id", F.array_join(F.sort_array(failed), ",").alias("failed"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id % 50 AS slug, event_type AS worker, epoch_us(ts) // 1000 AS "at", event_id AS n, row_number() OVER (PARTITION BY user_id % 50 ORDER BY epoch_us(ts) // 1000, event_id) AS i FROM events),
+r AS (SELECT slug, worker, "at", n, i, 'claimed' AS verdict, worker AS owner, "at" AS beat FROM e WHERE i = 1 UNION ALL SELECT e.slug, e.worker, e."at", e.n, e.i,
+CASE WHEN e."at" - r.beat >= 21600000 THEN CASE WHEN e.worker = r.owner THEN 'claimed' ELSE 'taken over' END WHEN e.worker = r.owner THEN 'beat' ELSE 'refused' END,
+CASE WHEN e."at" - r.beat >= 21600000 THEN e.worker ELSE r.owner END, CASE WHEN e."at" - r.beat >= 21600000 OR e.worker = r.owner THEN e."at" ELSE r.beat END FROM r JOIN e ON e.slug = r.slug AND e.i = r.i + 1)
+SELECT slug::VARCHAR AS slug, worker, "at", n, verdict, owner FROM r""")
+def claim_takeovers(spark, d):
+    """Claims, beats, refusals and takeovers in order of time, leases of six hours."""
+    e = table(spark, d, "events").select((F.col("user_id") % 50).cast("string").alias("slug"), F.col("event_type").alias("worker"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").cast("long").alias("n"))
+    return claims.claims_table(e, 6 * 3600)
