@@ -9,7 +9,8 @@ matter, scripts, styles, templates, ``hidden`` attributes, ``display:none`` and
 
 Every step costs in proportion to the page, however it is broken or nested: the places of open tags
 are kept by name, so no end tag searches the stack, and nothing recurses. A table that holds tables
-more than ``DEEP`` deep is taken as page layout: its cells become blocks.
+more than ``DEEP`` deep is taken as page layout: its cells become blocks. So do those of a table
+whose columns would take more than ``AREA`` characters for each cell and character in it, as a tall cell beside very many others does.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ HOLDS_P = ("td", "th", "li", "div", "table", "body", "article", "section")
 IMPLIED = {"li": (("li",), ("ul", "ol")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", *CELLS), ("table",)), "td": (CELLS, ("tr", "table")), "th": (CELLS, ("tr", "table")), "option": (("option",), ("select",)), "tbody": ((*GROUPS, "tr", *CELLS), ("table",)), "thead": ((*GROUPS, "tr", *CELLS), ("table",)), "tfoot": ((*GROUPS, "tr", *CELLS), ("table",))}
 DEEP = 3
 WIDEST = 80
+AREA = 128  # a table is laid out in columns while that takes up to so many characters for each cell and character it holds
 
 
 class Node:
@@ -221,25 +223,34 @@ class _Table:
         self.rows: list[list[tuple[str, int, int]]] = []
 
     def lines(self) -> list[str]:
-        placed, open_ = [], {}  # open_: column -> rows still taken by a cell above
+        placed, taken = [], {}  # taken: column -> row before which a cell above fills it
         widest, high = max(map(len, self.rows), default=0), len(self.rows)  # wider or longer spans cross nothing more
-        for row in self.rows:
+        budget = AREA * sum(len(text) + 1 for row in self.rows for text, _, _ in row)
+        for at, row in enumerate(self.rows):
             out, c = [], 0
             for text, columns, rows in row:
                 columns, rows = min(columns, widest), min(rows, high)
-                while open_.get(c):
+                while taken.get(c, 0) > at:
                     c += 1
+                    budget -= 1
                 out.append((c, columns, text.split("\n")))
                 if rows > 1:
-                    open_ |= dict.fromkeys(range(c, c + columns), rows)
+                    taken |= dict.fromkeys(range(c, c + columns), at + rows)
                 c += columns
-            open_ = {k: v - 1 for k, v in open_.items() if v > 1}
+                budget -= columns
             placed.append(out)
+            if budget < 0:
+                return self.blocks()
         width: dict[int, int] = {}
         for row in placed:
             for c, columns, text in row:
                 if columns == 1:
                     width[c] = max(width.get(c, 0), *(len(x) for x in text if len(x) <= WIDEST), 0)
+        for row in placed:  # the room that all lines of the row take, to its last column
+            last = max((c + columns for c, columns, _ in row), default=0)
+            budget -= max((len(text) for _, _, text in row), default=0) * (sum(width.get(x, 0) for x in range(last)) + 2 * last)
+            if budget < 0:
+                return self.blocks()
         out = []
         for row in placed:
             if not any(any(text) for _, _, text in row):
@@ -258,6 +269,10 @@ class _Table:
         return out
 
 
+    def blocks(self) -> list[str]:
+        return [line for row in self.rows for text, _, _ in row if text for line in text.split("\n")]
+
+
 def render(root: Node) -> str:
     """Visible text with block spacing, lists and aligned table cells."""
     pages = [_Page()]
