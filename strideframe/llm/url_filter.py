@@ -2,7 +2,7 @@
 
 A url is cut into host and path. Within a host the path's segments become a template, level by level: a
 segment of digits or hexadecimal digits is a wildcard at once, and all segments below a node become
-one when the node has many distinct children that are seen once or twice each; the shares are counted
+one when the node has many distinct children with one or two distinct paths each, however often these are seen; the shares are counted
 again on the new templates until no node changes.
 
 Every template lies in three trees, that of all hosts, of its domain and of its host, and has one node for
@@ -57,8 +57,8 @@ def _generalised(paths: DataFrame, min_children: int, variable_share: float) ->
     while True:
         each = paths.select("host", "path", "n", F.posexplode(F.arrays_zip(_nodes(F.col("host"), F.col("shape")), F.col("shape"))).alias("level", "s"))
         each = each.select("host", "path", "n", "level", F.col("s")["0"].alias("parent"), F.col("s")["shape"].alias("seg")).where("seg IS NOT NULL AND seg <> '*'")
-        kids = each.groupBy("parent", "seg").agg(F.sum("n").alias("n"))
-        wide = kids.groupBy("parent").agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("rows")).where((F.col("kids") >= min_children) & (F.col("kids") >= variable_share * F.col("rows")))
+        kids = each.groupBy("parent", "seg").agg(F.count(F.lit(1)).alias("below"))
+        wide = kids.groupBy("parent").agg(F.count(F.lit(1)).alias("kids"), F.sum("below").alias("below")).where((F.col("kids") >= min_children) & (F.col("kids") >= variable_share * F.col("below")))
         wide = common.save(wide.select("parent"), "url-variable")
         if not wide.limit(1).count():
             common.forget(wide)
