@@ -2,9 +2,10 @@
 
 Every window of ``length`` bytes names one position in it: the leftmost smallest hash of its
 ``seed``-byte strings (length - seed + 1 of them, so equal windows name equal positions). The rank of
-a position starts as that of its seed string. Each round sorts (rank, block at the next offset) pairs
-and reranks: a position's cell of window starts is halved, so the string that all windows of the
-cell share grows by half the cell (73, 137, 169, 185, 193, 197, 199, 200 bytes). Positions whose
+a position starts as that of its seed string. Each round names the bytes at a growing length afresh and
+groups equal names: a position's cell of window starts is halved, so the string that all windows of the
+cell share grows by half the cell (73, 137, 169, 185, 193, 197, 199, 200 bytes). No pairs of (rank, rank at
+an offset) are sorted, as most positions at a fixed offset are not among the sampled ones. Positions whose
 rank is unique are dropped; a class all of whose members have one and the same neighbourhood is
 decided at once, and of equal neighbourhoods one goes on for all. At the threshold what is left repeats.
 
@@ -89,7 +90,7 @@ def _with_text(rows: DataFrame, places: DataFrame) -> DataFrame:
 
     Window starts lo..hi become u..v, counted back from the anchor.
     """
-    held = places.groupBy("row").agg(F.collect_list(F.struct("pos", "lo", "hi", "done")).alias("places"))
+    held = places.groupBy("row").agg(F.collect_set(F.struct("pos", "lo", "hi", "done")).alias("places"))
     near = rows.join(held, "row").select("row", "body", "places").mapInArrow(_neighbourhoods, "row long, pos long, lo long, hi long, done boolean, ctx binary")
     return near.select("row", "pos", (F.col("pos") - F.col("hi")).alias("u"), (F.col("pos") - F.col("lo")).alias("v"), "ctx", "done")
 
@@ -190,7 +191,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: id_col, n_bytes, n_removed, n_spans, kept_sha256.
 
     A null text is empty; texts under LENGTH bytes lose nothing; a repeated row is a repeat of its
-    twin and loses all its windows. An empty table gives an empty result; other columns are ignored.
+    twin and loses all its windows, and its anchors are looked up once however often it repeats. An empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), common.text_of(text_col)).alias("row"), common.text_of(text_col).cast("binary").alias("body"))
     spans = repeated_spans(rows.select("row", "body")).groupBy("row").agg(F.collect_set(F.struct("f", "t")).alias("spans"))
