@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strideframe.operators import graph, rasters, roads, rollups, sequence, spatial, tiles
+from strideframe.operators import evidence, graph, rasters, roads, rollups, sequence, spatial, tiles
 from strideframe.plans.queries import query
 from strideframe.session import ensure_checkpoints, table
 
@@ -333,3 +333,31 @@ def resampled_paths(spark, d):
     p = table(spark, d, "orders").select(c("o_custkey").alias("k"), c("o_orderkey").cast("double").alias("x"), (c("o_orderkey") % 50).cast("double").alias("y"))
     r = sequence.resample(sequence.arc_length(p, "k", ["x"], "x", "y"), "k", "x", "y", "arc", 500.0)
     return r.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("s"), 4).alias("total"))
+
+
+@query("""WITH x AS (SELECT vec_id // 50 AS e, vec_id % 50 AS f, list_filter(list_transform(embedding, lambda v: v::DOUBLE * 4), lambda z: z > 0) AS z FROM embeddings WHERE vec_id % 50 % 2 = 0),
+n AS (SELECT e, f, list_min(z) AS nearest, len(list_filter(z, lambda v: v < 0.6)) / len(z) > 0.84 AS bad FROM x WHERE len(z) > 0), b AS (SELECT e, f, CASE WHEN f - lag(f) OVER (PARTITION BY e ORDER BY f) <= 4 THEN 0 ELSE 1 END AS new FROM n WHERE bad),
+r AS (SELECT e, f, sum(new) OVER (PARTITION BY e ORDER BY f) AS run FROM b), g AS (SELECT e, run, count(*) AS c, min(f) AS lo, max(f) AS hi FROM r GROUP BY 1, 2), h AS (SELECT e, sum(c)::BIGINT AS c, string_agg(lo || '-' || hi, ',' ORDER BY lo) AS events FROM g GROUP BY 1)
+SELECT n.e AS episode_id, round(min(nearest), 6) AS nearest, count(*) FILTER (nearest <= 0.11) AS at_clip, coalesce(any_value(h.c), 0) AS penetrating_frames, coalesce(any_value(events), '') AS events FROM n LEFT JOIN h USING (e) GROUP BY 1""")
+def penetrations(spark, d):
+    """Vectors as depth pictures; the share is a larger one here, as most entries are small."""
+    c = F.col
+    z = table(spark, d, "embeddings").select(F.floor(c("vec_id") / 50).alias("episode_id"), (c("vec_id") % 50).alias("frame_id"), F.transform("embedding", lambda v: v.cast("double") * 4).alias("depth"))
+    p = evidence.penetrations(z, share=0.84)
+    return p.select("episode_id", F.round("nearest", 6).alias("nearest"), "at_clip", "penetrating_frames", F.array_join(F.transform("events", lambda e: F.concat_ws("-", e["first"].cast("string"), e["last"].cast("string"))), ",").alias("events"))
+
+
+@query("""WITH p AS (SELECT vec_id // 50 AS e, vec_id % 50 AS f, CASE WHEN vec_id % 17 <> 0 THEN list_transform(embedding, lambda v, i: CASE WHEN vec_id % 11 < 2 THEN 7 + (i % 2) * (vec_id % 11) * 9 WHEN vec_id % 50 % 12 = 1 AND vec_id % 3 = 0 THEN 200 ELSE floor(v::DOUBLE * 100 + 128) END) END AS l, 640 + vec_id % 17 AS w FROM embeddings),
+m AS (SELECT p.*, f % 8 <> 0 AND lead(f) OVER (PARTITION BY e ORDER BY f) IS NOT NULL AS pair FROM p), q AS (SELECT m.e, m.f, m.l, m.w, m.pair, n.l AS nl FROM m LEFT JOIN p n ON n.e = m.e AND n.f = m.f + 1 WHERE m.f % 3 = 0)
+SELECT e AS episode_id, count(l) AS decoded, count(*) FILTER (l IS NULL) + count(*) FILTER (l IS NOT NULL AND pair AND nl IS NULL) AS unreadable, count(*) FILTER (list_max(l) - list_min(l) < 2) AS blank,
+count(*) FILTER (pair AND list_sum(list_transform(list_zip(l, nl), lambda x: abs(x[1] - x[2]))) / len(l) < 0.05) AS duplicate_pairs, arg_min(w, f) FILTER (l IS NOT NULL) AS width FROM q GROUP BY 1""")
+def picture_evidence(spark, d):
+    """Vectors as pictures: some not readable, some of one grey, some like their neighbours; the camera rests at every eighth frame."""
+    c = F.col
+    v = table(spark, d, "embeddings")
+    k = c("vec_id")
+    grey = F.transform("embedding", lambda x, i: F.when(k % 11 < 2, 7 + ((i + 1) % 2) * (k % 11) * 9).when((k % 50 % 12 == 1) & (k % 3 == 0), 200).otherwise(F.floor(x.cast("double") * 100 + 128)))
+    rows = v.select(F.floor(k / 50).alias("episode_id"), (k % 50).alias("frame_id"), F.when(k % 17 != 0, grey).alias("luma"), (640 + k % 17).alias("width"), F.lit(480).alias("height"))
+    at = F.when(c("frame_id") % 8 == 1, c("frame_id") - 1).otherwise(c("frame_id")).cast("double")
+    frames = rows.select("episode_id", "frame_id", at.alias("desired_x_cm"), *[F.lit(0.0).alias(n) for n in evidence.DESIRED[1:]])
+    return evidence.picture_samples(frames, rows, 3).drop("height")
