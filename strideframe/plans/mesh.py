@@ -220,11 +220,20 @@ def obstacle_density(spark, d):
     return tiles.density(c, c.where((F.col("row") + F.col("col")) % 3 == 0), 3).withColumn("density", F.round("density", 6))
 
 
+#: rasters of 22 x 23 cells, two fifths of them ground, one map for 256 order keys
+_GROUND = "c AS (SELECT DISTINCT o_orderkey // 256 AS m, (o_orderkey * 7919 % 1009) % 22 AS r, (o_custkey * 31 + o_orderkey * 17) % 23 AS q FROM orders)"
+
+
+def _ground(spark, d):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return table(spark, d, "orders").select(F.floor(k / 256).cast("string").alias("map_id"), (k * 7919 % 1009 % 22).cast("int").alias("row"), ((c * 31 + k * 17) % 23).cast("int").alias("col")).distinct()
+
+
 @query()
 def skeletons(spark, d):
     """Centre lines of the maps with the degree of each cell; thinning is iterative."""
     ensure_checkpoints(spark)
-    return roads.degrees(tiles.thinned(_cells(spark, d), tile=16))
+    return roads.degrees(tiles.thinned(_ground(spark, d), tile=16))
 
 
 _DISC = "b AS (SELECT a, e FROM (SELECT unnest(range(-2, 3)) AS a), (SELECT unnest(range(-2, 3)) AS e) WHERE a * a + e * e <= 4)"
@@ -237,21 +246,21 @@ def closed_cells(spark, d):
     return tiles.closed(_cells(spark, d), 2, tile=16)
 
 
-_HOLES = """o AS (SELECT m, a AS r, b AS q FROM (SELECT DISTINCT m FROM c), (SELECT unnest(range(-1, 41)) AS a), (SELECT unnest(range(-1, 41)) AS b) EXCEPT SELECT m, r, q FROM c),
+_HOLES = """o AS (SELECT m, a AS r, b AS q FROM (SELECT DISTINCT m FROM c), (SELECT unnest(range(-1, 24)) AS a), (SELECT unnest(range(-1, 24)) AS b) EXCEPT SELECT m, r, q FROM c),
 f(m, r, q) AS (SELECT m, r, q FROM o WHERE r = -1 AND q = -1 UNION SELECT o.m, o.r, o.q FROM f JOIN o ON o.m = f.m AND abs(o.r - f.r) + abs(o.q - f.q) = 1)"""
 
 
-@query(f"WITH RECURSIVE {_CELLS}, {_HOLES} SELECT m::VARCHAR AS map_id, r::INT AS row, q::INT AS col FROM (SELECT * FROM o EXCEPT SELECT * FROM f)")
+@query(f"WITH RECURSIVE {_GROUND}, {_HOLES} SELECT m::VARCHAR AS map_id, r::INT AS row, q::INT AS col FROM (SELECT * FROM o EXCEPT SELECT * FROM f)")
 def hole_cells(spark, d):
     ensure_checkpoints(spark)
-    return tiles.holes(_cells(spark, d), tile=16)
+    return tiles.holes(_ground(spark, d), tile=16)
 
 
-@query(f"""WITH RECURSIVE {_CELLS}, l(m, r, q, fr, fq) AS (SELECT m, r, q, r, q FROM c UNION SELECT l.m, l.r, l.q, c.r, c.q FROM l JOIN c ON c.m = l.m AND abs(c.r - l.fr) + abs(c.q - l.fq) = 1)
+@query(f"""WITH RECURSIVE {_GROUND}, l(m, r, q, fr, fq) AS (SELECT m, r, q, r, q FROM c UNION SELECT l.m, l.r, l.q, c.r, c.q FROM l JOIN c ON c.m = l.m AND abs(c.r - l.fr) + abs(c.q - l.fq) = 1)
 SELECT m::VARCHAR AS map_id, r::INT AS row, q::INT AS col, min((fr + 536870912) * 4294967296 + fq + 2147483648)::BIGINT AS component FROM l GROUP BY 1, 2, 3""")
 def cell_components(spark, d):
     ensure_checkpoints(spark)
-    return tiles.labelled(_cells(spark, d), tile=16)
+    return tiles.labelled(_ground(spark, d), tile=16)
 
 
 @query(f"""WITH {_CELLS}, y AS (SELECT DISTINCT i, round_even(5 + t * sin(2 * pi() * i / 16), 0)::INT - 5 AS a, round_even(5 + t * cos(2 * pi() * i / 16), 0)::INT - 5 AS e FROM (SELECT unnest(range(16)) AS i), (SELECT unnest(range(1, 6)) AS t)),
@@ -263,14 +272,14 @@ def enclosed_cells(spark, d):
     return tiles.opposing_pairs(c, c.where((F.col("row") + F.col("col")) % 3 == 0), 5, tile=16)
 
 
-@query(f"""WITH RECURSIVE {_CELLS}, n AS (SELECT a.m, a.r, a.q, b.r AS s, b.q AS t FROM c a JOIN c b ON b.m = a.m AND abs(b.r - a.r) <= 1 AND abs(b.q - a.q) <= 1 AND (b.r <> a.r OR b.q <> a.q)),
+@query(f"""WITH RECURSIVE {_GROUND}, n AS (SELECT a.m, a.r, a.q, b.r AS s, b.q AS t FROM c a JOIN c b ON b.m = a.m AND abs(b.r - a.r) <= 1 AND abs(b.q - a.q) <= 1 AND (b.r <> a.r OR b.q <> a.q)),
 g AS (SELECT c.m, c.r, c.q, count(n.s) AS deg FROM c LEFT JOIN n ON n.m = c.m AND n.r = c.r AND n.q = c.q GROUP BY 1, 2, 3),
 w AS (SELECT m, 0 AS len, r AS fr, q AS fq, s AS sr, t AS sq, r AS pr, q AS pq, s AS r, t AS q, CASE WHEN r <> s AND q <> t THEN 1 ELSE 0 END AS dia, 1 AS k FROM n JOIN g USING (m, r, q) WHERE deg <> 2
 UNION ALL SELECT w.m, 0, w.fr, w.fq, w.sr, w.sq, w.r, w.q, n.s, n.t, w.dia + CASE WHEN n.r <> n.s AND n.q <> n.t THEN 1 ELSE 0 END, w.k + 1 FROM w JOIN g ON g.m = w.m AND g.r = w.r AND g.q = w.q AND g.deg = 2 JOIN n ON n.m = w.m AND n.r = w.r AND n.q = w.q AND (n.s <> w.pr OR n.t <> w.pq))
 SELECT w.m::VARCHAR AS map_id, fr::INT AS u_row, fq::INT AS u_col, w.r::INT AS v_row, w.q::INT AS v_col, round(k - dia + dia * sqrt(2), 6) AS length, (k + 1)::INT AS cells FROM w JOIN g ON g.m = w.m AND g.r = w.r AND g.q = w.q AND g.deg <> 2 WHERE (fr, fq, sr, sq) <= (w.r, w.q, pr, pq)""")
 def road_edges(spark, d):
     ensure_checkpoints(spark)
-    e = roads.road_edges(_cells(spark, d))
+    e = roads.road_edges(_ground(spark, d))
     return e.select("map_id", F.col("u.row").alias("u_row"), F.col("u.col").alias("u_col"), F.col("v.row").alias("v_row"), F.col("v.col").alias("v_col"), F.round("length", 6).alias("length"), F.size("cells").alias("cells"))
 
 
