@@ -192,14 +192,21 @@ def integrity(df: DataFrame, key: str, order: str, number: str, value: str, decl
 
 
 def evenly_spaced(n: int, rows: Column, how: str) -> Column:
-    """n positions (from 0) spread over ``rows``: 'round' half to even, 'truncate', or 'inner' (without the ends)."""
-    i = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda x: x.cast("double"))
-    step = (rows - 1) / max(n - 1, 1)
+    """n positions (from 0) spread over ``rows``: 'round' half to even, 'truncate', 'capped' (truncate, of at most as many positions as rows), or 'inner' (without the ends)."""
+    many = F.least(F.lit(n), rows).cast("int") if how == "capped" else F.lit(n)
+    i = F.transform(F.sequence(F.lit(0), F.greatest(many, F.lit(1)) - 1), lambda x: x.cast("double"))
+    step = (rows - 1) / F.greatest(many - 1, F.lit(1))
     if how == "round":
         return F.array_distinct(F.transform(i, lambda x: F.bround(x * step).cast("long")))
-    if how == "truncate":
-        return F.array_distinct(F.transform(i, lambda x: F.floor(x * step)))
-    return F.array_distinct(F.transform(i, lambda x: F.floor((x + 1) * rows / (n + 1))))
+    if how == "inner":
+        return F.array_distinct(F.transform(i, lambda x: F.floor((x + 1) * rows / (n + 1))))
+    return F.array_distinct(F.transform(i, lambda x: F.floor(x * (rows - 1) / F.greatest(many - 1, F.lit(1)))))
+
+
+def spread_rows(df: DataFrame, key: str, order: str, n: int, how: str) -> DataFrame:
+    """The rows of each key at evenly_spaced() positions, with ``at``: position by order."""
+    placed = df.withColumns({"at": (F.row_number().over(W.partitionBy(key).orderBy(order)) - 1).cast("long"), "_n": F.count(F.lit(1)).over(W.partitionBy(key))})
+    return placed.where(F.array_contains(evenly_spaced(n, F.col("_n"), how), F.col("at"))).drop("_n")
 
 
 def page_with_totals(df: DataFrame, order: list[Column], page: int, size: int, totals: dict[str, Column]) -> DataFrame:

@@ -87,3 +87,12 @@ def deal(df: DataFrame, order: list[Column], n: int, out: str = "worker") -> Dat
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
     numbered = placed.withColumn("_at", F.row_number().over(W.partitionBy("_part").orderBy(*order)))
     return numbered.join(F.broadcast(before), "_part").withColumn(out, (F.col("_before") + F.col("_at") - 1) % n).drop("_part", "_at", "_before")
+
+
+def second_pass(plan: DataFrame, results: DataFrame, key: str, categories: list[str], workers: int) -> DataFrame:
+    """Tasks of the given categories with what they took before (0: unknown), slowest first, dealt in turn: key, category, elapsed, worker.
+
+    plan: key, category; results: key, elapsed (one row a key).
+    """
+    again = plan.where(F.col("category").isin(categories)).join(results.select(key, "elapsed"), key, "left").withColumn("elapsed", F.coalesce("elapsed", F.lit(0)))
+    return deal(again, [F.desc("elapsed"), F.col(key)], workers)
