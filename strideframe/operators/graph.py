@@ -50,54 +50,103 @@ def hop_distances(edges: DataFrame, sources: DataFrame) -> DataFrame:
     return known
 
 
-def _shortest(near: dict, start: int) -> tuple[dict, dict]:
-    """Distances from start and the (node, edge, weight) each node is reached from."""
-    dist, back, heap = {start: 0.0}, {}, [(0.0, start)]
+def _lightest(u: np.ndarray, v: np.ndarray, edge: np.ndarray, weight: np.ndarray) -> dict[int, list]:
+    """(node, edge, weight) of the lightest road from each node to each of its neighbours; of equals the smallest edge."""
+    rows = pd.DataFrame({"u": np.concatenate([u, v]), "v": np.concatenate([v, u]), "weight": np.concatenate([weight, weight]), "edge": np.concatenate([edge, edge])})
+    rows = rows.sort_values(["u", "v", "weight", "edge"]).drop_duplicates(["u", "v"])
+    near: dict[int, list] = {}
+    for a, b, w, e in zip(*[rows[c].tolist() for c in ("u", "v", "weight", "edge")], strict=True):
+        near.setdefault(a, []).append((b, e, w))
+    return near
+
+
+def _way(near: dict, start: int, left: dict) -> list:
+    """Hops from start to the nearest node with fresh roads, of equally near ones the smallest; none if there is none.
+
+    left counts the fresh roads at each node. The search ends with the first goals it settles.
+    """
+    dist, back, heap, goal = {start: 0.0}, {}, [(0.0, start)], None
     while heap:
         d, n = heapq.heappop(heap)
+        if goal is not None and d > dist[goal]:
+            break
         if d > dist[n]:
             continue
+        if left[n] and (goal is None or n < goal):
+            goal = n
         for m, edge, w in near[n]:
             if d + w < dist.get(m, float("inf")):
                 dist[m], back[m] = d + w, (n, edge, w)
                 heapq.heappush(heap, (d + w, m))
-    return dist, back
+    path, n = [], goal
+    while n is not None and n != start:
+        path.append((n, *back[n][1:]))
+        n = back[n][0]
+    return path[::-1]
 
 
 def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Covers every edge reachable from the smallest node: a random fresh road here, else the way to the nearest one."""
+    """Covers every edge reachable from the smallest node: a random fresh road here, else the way to the nearest one.
+
+    A node's roads are one stretch of an array in order of their edges, with a tree of counts over those that are fresh, so
+    to draw a road takes the logarithm of how many the node has.
+    """
     name, seed = pdf["map_id"].iloc[0], int(pdf["seed"].iloc[0])
-    near: dict[int, list] = {}
-    for edge, u, v, w in zip(pdf["edge"], pdf["u"], pdf["v"], pdf["weight"], strict=True):
-        near.setdefault(u, []).append((v, edge, w))
-        near.setdefault(v, []).append((u, edge, w))
-    for options in near.values():
-        options.sort(key=lambda o: o[1])
-    rng = np.random.default_rng(seed)
-    fresh, ends = set(pdf["edge"]), dict(zip(pdf["edge"], zip(pdf["u"], pdf["v"], strict=True), strict=True))
-    at, steps = min(near), []
-
-    def go(to, edge, w):
-        steps.append((at, to, edge, "cover" if edge in fresh else "reposition", w))
-        fresh.discard(edge)
+    u, v, edge, weight = (pdf[c].to_numpy() for c in ("u", "v", "edge", "weight"))
+    near, n = _lightest(u, v, edge, weight), len(pdf)
+    row = np.arange(n)
+    order = np.lexsort((np.concatenate([row, row]), np.concatenate([edge, edge]), np.concatenate([u, v])))  # darts u -> v, then v -> u
+    place = np.empty(2 * n, np.int64)
+    place[order] = np.arange(2 * n)
+    _, road = np.unique(edge, return_inverse=True)
+    darts_of = np.argsort(np.concatenate([road, road]), kind="stable")
+    first_of = np.searchsorted(np.concatenate([road, road])[darts_of], np.arange(road.max(initial=-1) + 2)).tolist()
+    nodes, starts = np.unique(np.concatenate([u, v])[order], return_index=True)
+    ends = np.append(starts[1:], 2 * n)
+    base, left = dict(zip(nodes.tolist(), starts.tolist(), strict=True)), dict(zip(nodes.tolist(), (ends - starts).tolist(), strict=True))
+    size = dict(left)
+    # a Fenwick tree a node: entry i (from 1) counts the fresh darts in (i - lowest bit of i, i]
+    inside = np.arange(2 * n) - np.repeat(starts, ends - starts) + 1
+    tree, place, darts_of = (inside & -inside).tolist(), place.tolist(), darts_of.tolist()
+    tails, heads, road, order = np.concatenate([u, v]).tolist(), np.concatenate([v, u]).tolist(), road.tolist(), order.tolist()
+    rng, fresh = np.random.default_rng(seed), np.ones(len(first_of) - 1, bool)
+    at = int(nodes[0])
+    tos, roads, covers, weights, froms = [], [], [], [], []
+
+    def go(to, number, name_, w):
+        froms.append(at), tos.append(to), roads.append(name_), weights.append(w), covers.append(bool(fresh[number]))
+        if fresh[number]:
+            fresh[number] = False
+            for dart in darts_of[first_of[number] : first_of[number + 1]]:
+                node = tails[dart]
+                first, many, i = base[node] - 1, size[node], place[dart] - base[node] + 1
+                left[node] -= 1
+                while i <= many:
+                    tree[first + i] -= 1
+                    i += i & -i
         return to
 
-    while fresh:
-        here = [o for o in near[at] if o[1] in fresh]
-        if here:
-            at = go(*here[int(rng.integers(len(here)))])
+    numbers = np.unique(edge)
+    while True:
+        if left[at]:
+            want, first, many, i = int(rng.integers(left[at])), base[at] - 1, size[at], 0
+            step = 1 << (many.bit_length() - 1)
+            while step:  # the longest prefix with at most ``want`` fresh darts
+                if i + step <= many and tree[first + i + step] <= want:
+                    i += step
+                    want -= tree[first + i]
+                step >>= 1
+            dart = order[base[at] + i]
+            number = road[dart % n]
+            at = go(heads[dart], number, edge[dart % n], weight[dart % n])
             continue
-        dist, back = _shortest(near, at)
-        goals = [(dist[n], n) for edge in fresh for n in ends[edge] if n in dist]
-        if not goals:
+        path = _way(near, at, left)
+        if not path:
             break
-        path, n = [], min(goals)[1]
-        while n != at:
-            path.append((n, *back[n][1:]))
-            n = back[n][0]
-        for hop in reversed(path):
-            at = go(*hop)
-    out = pd.DataFrame(steps, columns=["u", "v", "edge", "kind", "weight"])
+        for to, name_, w in path:
+            at = go(to, int(np.searchsorted(numbers, name_)), name_, w)
+    kind = np.where(covers, "cover", "reposition") if covers else np.array([], object)
+    out = pd.DataFrame({"u": froms, "v": tos, "edge": roads, "kind": kind, "weight": weights})
     return out.assign(map_id=name, seed=seed, step=np.arange(len(out), dtype=np.int32))[["map_id", "seed", "step", "u", "v", "edge", "kind", "weight"]]
 
 
