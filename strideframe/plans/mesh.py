@@ -32,10 +32,7 @@ def _points(spark, d):
 
 @query(f"WITH {_TRI} SELECT q.point, min(t.triangle) AS triangle FROM q LEFT JOIN t ON t.k = q.k AND q.x >= t.ax AND q.y >= t.ay AND (q.x - t.ax) + (q.y - t.ay) <= t.s GROUP BY 1")
 def first_triangle(spark, d):
-    t = _triangles(spark, d)
-    missing = _points(spark, d)
-    hit = spatial.first_triangle(missing, t, "k", 40.0)
-    return missing.join(hit.select("point", "triangle"), "point", "left").select("point", "triangle")
+    return spatial.first_triangle(_points(spark, d), _triangles(spark, d), "k", 40.0).select("point", "triangle")
 
 
 @query(f"WITH {_TRI} SELECT q.point, arg_min(t.triangle, (sqrt(pow(q.x - t.ax, 2) + pow(q.y - t.ay, 2)), t.triangle)) AS near, round(min(sqrt(pow(q.x - t.ax, 2) + pow(q.y - t.ay, 2))), 6) AS dist FROM q LEFT JOIN t ON t.k = q.k GROUP BY 1")
