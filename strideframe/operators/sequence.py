@@ -30,9 +30,20 @@ def islands(df: DataFrame, key: str, order: str, gap: float) -> DataFrame:
 
 
 def longest_run(df: DataFrame, key: str, index: str) -> DataFrame:
-    """Longest run of consecutive indices per key; the earliest of equals."""
-    runs = df.withColumn("_g", F.col(index) - F.row_number().over(W.partitionBy(key).orderBy(index))).groupBy(key, "_g").agg(F.count(F.lit(1)).alias("n"), F.min(index).alias("first"))
-    return runs.groupBy(key).agg(F.max("n").alias("run_length"), F.min_by("first", F.struct(-F.col("n"), F.col("first"))).alias("run_start"))
+    """Longest run of consecutive indices per key; the earliest of equals. Repeated indices count once; one that is null is a run of one.
+
+    One sort serves the window and the aggregate: the rows of a key come by index, each knows where its run began, and nothing is hashed.
+    """
+    many = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    w = W.partitionBy(key).orderBy(index)
+    i, before = F.col(index), F.lag(index).over(w)
+    # by number, as AQE would join these small rows to partitions whose sort is large
+    begun = df.select(key, index).repartition(many, key).withColumn("_begin", F.when(before.isNull() | (before < i - 1), i))
+    runs = begun.withColumn("_begin", F.max("_begin").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    length = F.when(i.isNull(), 1).otherwise(i - F.col("_begin") + 1).cast("long")
+    begin = F.when(i.isNotNull(), F.col("_begin"))
+    best = F.max(F.struct(length.alias("n"), (-begin).alias("o"), begin.alias("b")))
+    return runs.groupBy(key).agg(best.alias("m")).select(key, F.col("m.n").alias("run_length"), F.col("m.b").alias("run_start"))
 
 
 def contiguous_prefix(df: DataFrame, key: str, index: str) -> DataFrame:

@@ -110,7 +110,7 @@ def gaps_and_islands(spark, d):
 @query("""WITH x AS (SELECT DISTINCT l_partkey AS k, l_suppkey AS i FROM lineitem), r AS (SELECT k, i, i - row_number() OVER (PARTITION BY k ORDER BY i) AS g FROM x), s AS (SELECT k, g, count(*) AS n, min(i) AS first FROM r GROUP BY 1, 2)
 SELECT k, n AS run_length, first AS run_start FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, first) AS rn FROM s) WHERE rn = 1""")
 def longest_run(spark, d):
-    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_suppkey").alias("i")).distinct()
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_suppkey").alias("i"))
     return sequence.longest_run(rows, "k", "i")
 
 
