@@ -203,10 +203,15 @@ def evenly_spaced(n: int, rows: Column, how: str) -> Column:
     return F.array_distinct(F.transform(i, lambda x: F.floor(x * (rows - 1) / F.greatest(many - 1, F.lit(1)))))
 
 
-def spread_rows(df: DataFrame, key: str, order: str, n: int, how: str) -> DataFrame:
-    """The rows of each key at evenly_spaced() positions, with ``at``: position by order."""
-    placed = df.withColumns({"at": (F.row_number().over(W.partitionBy(key).orderBy(order)) - 1).cast("long"), "_n": F.count(F.lit(1)).over(W.partitionBy(key))})
-    return placed.where(F.array_contains(evenly_spaced(n, F.col("_n"), how), F.col("at"))).drop("_n")
+def spread_rows(df: DataFrame, key: str, order: str, n: int, how: str | list[str]) -> DataFrame:
+    """The rows of each key at evenly_spaced() positions, with ``at``: position by order. Several rules share one sort, and their rows tell ``how``."""
+    # by number, as AQE would join these small rows to partitions whose sort is large
+    dealt = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    placed = dealt.withColumns({"at": (F.row_number().over(W.partitionBy(key).orderBy(order)) - 1).cast("long"), "_n": F.count(F.lit(1)).over(W.partitionBy(key))})
+    taken = lambda rule: F.array_contains(evenly_spaced(n, F.col("_n"), rule), F.col("at"))
+    if isinstance(how, str):
+        return placed.where(taken(how)).drop("_n")
+    return placed.withColumn("how", F.explode(F.array_compact(F.array(*[F.when(taken(rule), F.lit(rule)) for rule in how])))).drop("_n")
 
 
 def page_with_totals(df: DataFrame, order: list[Column], page: int, size: int, totals: dict[str, Column]) -> DataFrame:

@@ -300,11 +300,9 @@ WHEN 'capped' THEN list_transform(range(least(5, n)), lambda i: floor(i * (n - 1
 r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM orders) SELECT o_custkey, how, pos, o_orderkey FROM c JOIN r USING (o_custkey, pos)""")
 def evenly_spaced(spark, d):
     """Five rows of each customer by all four rounding rules."""
-    o, out = table(spark, d, "orders").select("o_custkey", "o_orderkey"), None
-    for how in ("round", "truncate", "inner", "capped"):
-        rows = rollups.spread_rows(o, "o_custkey", "o_orderkey", 5, how).select("o_custkey", F.lit(how).alias("how"), F.col("at").alias("pos"), "o_orderkey")
-        out = rows if out is None else out.union(rows)
-    return out
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
+    rows = rollups.spread_rows(o, "o_custkey", "o_orderkey", 5, ["round", "truncate", "inner", "capped"])
+    return rows.select("o_custkey", "how", F.col("at").alias("pos"), "o_orderkey")
 
 
 @query("SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY (o_orderstatus = 'F') DESC, o_totalprice DESC, o_orderkey) - 1 AS place FROM orders")
