@@ -13,7 +13,7 @@ from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .html_extract import html_extract
 from .jaccard_join import jaccard_components
-from .license_scan import license_scan
+from .license_scan import NAMED, license_scan
 from .lm_score import lm_scores
 from .packing import pack
 from .quality_crf import quality_scores
@@ -68,8 +68,11 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir).withColumn("path", F.concat_ws("/", "lang", "source", F.col("doc_id").cast("string")))
-    return license_scan(docs)
+    """A source that is a path or url is the document's own, so one that ends in LICENSE licenses those below; other sources are folders without licence files."""
+    docs = _documents(spark, sf_dir)
+    own = F.regexp_replace("source", "[?#].*$", "")
+    folder = F.concat_ws("/", "lang", "source", F.col("doc_id").cast("string"))
+    return license_scan(docs.withColumn("path", F.when(own.contains("/") | own.rlike(NAMED), own).otherwise(folder)))
 
 
 def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
