@@ -31,6 +31,8 @@ def _tokens(line: Column) -> Column:
     return F.filter(F.split(F.lower(line), r"[^a-z0-9.-]+|\.(?=\s|$)"), lambda x: x != "")
 
 
+#: tasks among which the files of one folder are dealt
+SPREAD = 32
 NAMED = r"(^|/)(LICEN[SC]E|COPYING)(\.[a-z]+)?$"
 
 
@@ -87,7 +89,8 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path
     parts = F.split("home", "/")
     ups = bare.select("home", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))).alias("dir"))
     near = ups.join(by_dir, "dir").groupBy("home").agg(F.max_by("dir_licence", F.length("dir")).alias("dir_licence"), F.max_by("dir_cosine", F.length("dir")).alias("dir_cosine"))
-    out = full.withColumn("home", home).join(near, "home", "left")
+    near = near.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))))
+    out = full.withColumn("home", home).withColumn("part", F.pmod("row", F.lit(SPREAD).cast("long"))).join(near, ["home", "part"], "left")
     return out.select(
         F.col("id").alias(id_col), "path", F.coalesce("licence", "dir_licence").alias("licence"), F.coalesce("cosine", "dir_cosine").alias("cosine"),
         F.when(F.col("licence").isNotNull(), "header").when(F.col("dir_licence").isNotNull(), "inherited").alias("origin"), F.coalesce("n_headers", F.lit(0)).cast("long").alias("n_headers"),
